@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, media, packing
-from .common import table
+from . import bpe, langid, media, packing, toxicity
+from .common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,8 +26,20 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(crc_bucket("doc_id", 5) != 0))
+    return toxicity.score(docs, model).select("doc_id", (crc_bucket("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "language_guess")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(crc_bucket("doc_id", 4) != 2))
+    return langid.predict(docs, model).select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op7_media, op8_byte_bpe)}
+    return {f.__name__: f for f in (op2_packing, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, media, packing, toxicity
+from . import bpe, jaccard, langid, media, packing, toxicity
 from .common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = jaccard.join(table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id", "representative")
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.store(table(spark, sf_dir, "documents")))
 
@@ -39,7 +44,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op2_packing, op3_ngram_jaccard, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, media, packing, toxicity
+from . import bpe, jaccard, langid, media, neardup, packing, toxicity, webtext
 from .common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,15 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.select("doc_id", "n_shingles", "component_id", "representative")
 
 
+def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members, _ = neardup.find(table(spark, sf_dir, "embeddings"))
+    return members
+
+
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return webtext.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.store(table(spark, sf_dir, "documents")))
 
@@ -44,7 +53,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op3_ngram_jaccard, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op2_packing, op3_ngram_jaccard, op4_embedding_neardup, op5_html_text, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

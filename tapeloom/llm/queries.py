@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, media, neardup, packing, toxicity, webtext
+from . import bloomlm, bpe, jaccard, langid, media, neardup, packing, toxicity, webtext
 from .common import crc_bucket, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return webtext.extract(table(spark, sf_dir, "pages"))
 
 
+def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    training = crc_bucket("doc_id", 7) != 2
+    out = bloomlm.score(table(spark, sf_dir, "documents"), training)
+    return out.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.features(media.store(table(spark, sf_dir, "documents")))
 
@@ -53,7 +59,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_packing, op3_ngram_jaccard, op4_embedding_neardup, op5_html_text, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
+    return {f.__name__: f for f in (op2_packing, op3_ngram_jaccard, op4_embedding_neardup, op5_html_text, op6_bloom_lm, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
 
 
 def oracle_sql() -> dict[str, str]:

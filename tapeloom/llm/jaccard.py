@@ -164,12 +164,15 @@ def linked_batches(batches: Iterator[pa.RecordBatch], words: int, threshold: int
     for batch, left in slices(batches, "text_a"):
         _WORDS.trim()
         right = [t.as_py() for t in batch.column(batch.schema.get_field_index("text_b")).cast(pa.binary())]
+        wanted = zip(left, right, *(batch.column(batch.schema.get_field_index(c)).to_numpy().view(np.uint64).tolist() for c in "ab"))
         last, s = None, np.empty(0, np.uint64)
         keep = []
-        for x, y in zip(left, right):
-            if x is not last and x != last:
+        for x, y, a, b in wanted:
+            if x != last:
                 last, s = x, shingles(x, words, _WORDS)
-            keep.append(similar(s, shingles(y, words, _WORDS), threshold))
+            t = shingles(y, words, _WORDS)
+            # where ids repeat, an id's other texts have come along too
+            keep.append(fingerprint(s)[0] == a and fingerprint(t)[0] == b and similar(s, t, threshold))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -240,7 +243,7 @@ def join(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
 
 
 def keep_first(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows, in all their columns, whose document is the first of its component."""
+    """The rows, in all their columns, whose document is the first of its component; rows without an id stay."""
     members, _ = join(docs, settings, id_col, text_col)
     first = members.where("doc_id = component_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(first, id_col, "left_semi")
+    return docs.where(F.col(id_col).isNotNull()).join(first, id_col, "left_semi").unionByName(docs.where(F.col(id_col).isNull()))

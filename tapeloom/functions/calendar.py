@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MARKET_ZONE = "Asia/Shanghai"
@@ -11,7 +11,7 @@ SESSIONS = {
     "CN": ("Asia/Shanghai", ((570, 690), (780, 900))),
     "HK": ("Asia/Hong_Kong", ((570, 720), (780, 960))),
     "US": ("America/New_York", ((570, 960),)),
-    "CRYPTO": ("UTC", ((0, 1439),)),
+    "JP": ("Asia/Tokyo", ((540, 690), (750, 900))),
 }
 
 
@@ -79,13 +79,11 @@ def is_trading_time(time: Column, market: str = "CN") -> Column:
     inside = F.lit(False)
     for a, b in sessions:
         inside = inside | minute.between(a, b)
-    return inside if market == "CRYPTO" else inside & (F.weekday(local) < 5)
+    return inside & (F.weekday(local) < 5)
 
 
 def open_days(calendar: DataFrame, exchange: str = "exchange", day: str = "cal_date") -> DataFrame:
     """Every day of a calendar (exchange, cal_date, is_open) with the open days before and after it."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(exchange).orderBy(day)
     opened = F.when(F.col("is_open") == 1, F.col(day))
     before = F.last(opened, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))

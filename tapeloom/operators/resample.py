@@ -60,8 +60,7 @@ def rollup_bars(bars: DataFrame, unit: str) -> DataFrame:
         (F.max("high") * ratio).alias("high"),
         (F.min("low") * ratio).alias("low"),
         F.max_by("close", "time").alias("close"),
-        F.sum("volume").alias("volume"),
-        F.sum("amount").alias("amount"),
+        *[F.sum(c).alias(c) for c in ("volume", "amount") if c in bars.columns],
         F.max_by("adj_factor", "time").alias("adj_factor"),
     )
 

@@ -1,15 +1,17 @@
 """Size-aware heavy-light self join of documents on the Jaccard similarity of their word n-grams.
 
 1. A pass over the texts gives each document's shingle set (64-bit hashes) a size and a 128-bit fingerprint; documents
-   of equal sets are one class from here on.  The same pass counts shingles that many sets of one task hold.
+   of equal sets are one class from here on.  The same pass counts shingles that several sets of one task hold.
 2. All sets are read in one global order: shingles not known as frequent first, then frequent ones by count; the order steers
-   cost only, never the result.  Of a set of n, any partner's overlap is at least t = ceil(threshold * n), so partners
-   share l shingles among the first n - t + l of both.  A small (light) set enumerates its 2-subsets of that prefix (l = 2);
-   a large (heavy) one is entered in the inverted lists of its prefix (l = 1), as are light sets within reach of a heavy one.
-   The boundary between light and heavy is the size of least estimated cost: subsets written, against list entries written and scanned.
-3. In each list, every set is compared with the list's first one, and verified links are joined to components.  What a list
-   then still holds of different components is compared pair by pair, so no link between components is missed,
-   and a group of g near copies costs about g comparisons a list instead of g*g/2.
+   cost only, never the result.  Sets of n and m shingles link with an overlap of at least t = ceil(s / (1 + s) * (n + m)), and then
+   share l shingles among the first n - t + l of the one and the first m - t + l of the other.  A small (light) set enumerates its
+   2-subsets of its longest such prefix (l = 2); a large (heavy) one is entered in the inverted lists of its prefix (l = 1), as
+   are light sets within reach of a heavy one.  Entries keep their position, so two sets meet only in lists within the prefixes of
+   their own pair of sizes.  The boundary between light and heavy is the size of least estimated cost: subsets written,
+   against list entries written and scanned.
+3. In each list, the set that has the list's shingle earliest in its order is compared with all others, and verified links are
+   joined to components.  What a list then still holds of different components is compared pair by pair, so no link between
+   components is missed, and a group of g near copies costs about g comparisons a list instead of g*g/2.
 4. Components follow from the verified links of both rounds.
 
 Comparisons are made on the exact sets, rebuilt from the two texts.
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHash, mix, shared_dir, slices, word_hashes, written
@@ -35,17 +37,18 @@ from .graph import components
 
 _WORDS = WordHash()
 SETS = "doc_id long, n long, set_id long, check long, shingle long, held long"
-POSTINGS = "key long, set_id long, n int"
+POSTINGS = "key long, set_id long, n int, pos int"
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``threshold`` in hundredths.  ``local_count``: sets of one task from which on a shingle is reported as frequent; the
-    ``frequent`` most common are read last.  ``broadcast_ids``: up to so many ids of texts to compare are broadcast, beyond it they are joined by a shuffle."""
+    """``threshold`` in hundredths.  ``local_count``: sets of one task from which on a shingle is counted; of those counted
+    ``least_count`` times or more the ``frequent`` most common are read last.  ``broadcast_ids``: up to so many ids of texts to compare are broadcast, beyond it they are joined by a shuffle."""
 
     words: int = 5
     threshold: int = 75
-    local_count: int = 4
+    local_count: int = 2
+    least_count: int = 8
     frequent: int = 200_000
     boundaries: tuple[int, ...] = (0, 4, 8, 12, 16, 20, 24, 32, 40, 48, 64)
     broadcast_ids: int = 2_000_000
@@ -127,19 +130,22 @@ class Order:
         return s[np.argsort(count, kind="stable")[:length]]
 
 
-def keys_of(s: np.ndarray, order: Order, threshold: int, boundary: int) -> np.ndarray:
-    """The lists that a set enters."""
+def keys_of(s: np.ndarray, order: Order, threshold: int, boundary: int) -> tuple[np.ndarray, np.ndarray]:
+    """The lists that a set enters, and the position that each entry counts with: a pair of sets of n and m that links meets in
+    a list where both positions are at most their size less the pair's overlap."""
     n = len(s)
     t = least_overlap(n, threshold)
-    out = []
+    keys, at = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
     first = order.prefix(s, n - t + 2)
     if n < boundary and t >= 2:
         i, j = np.triu_indices(len(first), 1)
         with np.errstate(over="ignore"):
-            out.append(mix(mix(np.minimum(first[i], first[j])) + np.maximum(first[i], first[j])))
+            keys.append(mix(mix(np.minimum(first[i], first[j])) + np.maximum(first[i], first[j])))
+        at.append((j - 1).astype(np.int32))
     if 100 * n >= threshold * boundary or t < 2:
-        out.append(first[: n - t + 1])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        keys.append(first[: n - t + 1])
+        at.append(np.arange(len(keys[-1]), dtype=np.int32))
+    return np.concatenate(keys), np.concatenate(at)
 
 
 def posting_batches(batches: Iterator[pa.RecordBatch], order: Order, words: int, threshold: int, boundary: int) -> Iterator[pa.RecordBatch]:
@@ -147,17 +153,24 @@ def posting_batches(batches: Iterator[pa.RecordBatch], order: Order, words: int,
     seen: set[int] = set()
     for _, texts in slices(batches):
         _WORDS.trim()
-        keys, ids, sizes = [], [], []
+        keys, ids, sizes, spots = [], [], [], []
         for t in texts:
             s = shingles(t, words, _WORDS)
             x, _ = fingerprint(s)
             if not len(s) or x in seen:
                 continue
             seen.add(x)
-            k = keys_of(s, order, threshold, boundary)
-            keys.append(k), ids.append(np.full(len(k), x, np.uint64)), sizes.append(np.full(len(k), len(s), np.int32))
+            k, at = keys_of(s, order, threshold, boundary)
+            keys.append(k), ids.append(np.full(len(k), x, np.uint64)), sizes.append(np.full(len(k), len(s), np.int32)), spots.append(at)
         if keys:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids).view(np.int64)), pa.array(np.concatenate(sizes))], names=["key", "set_id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids).view(np.int64)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(spots))], names=["key", "set_id", "n", "pos"])
+
+
+def within(a: str, b: str, threshold: int) -> Column:
+    """Whether entries (n, pos) of two sets are both in the prefixes of their pair of sizes."""
+    n, m = F.col(f"{a}n"), F.col(f"{b}n")
+    overlap = F.ceil((n + m) * threshold / (100 + threshold))
+    return (F.col(f"{a}pos") <= n - overlap) & (F.col(f"{b}pos") <= m - overlap)
 
 
 def linked_batches(batches: Iterator[pa.RecordBatch], words: int, threshold: int) -> Iterator[pa.RecordBatch]:
@@ -207,27 +220,26 @@ def join(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     words, local_count, threshold = s.words, s.local_count, s.threshold
     found = written(rows.mapInArrow(lambda b: set_batches(b, words, local_count), SETS), "sets")
     sets = found.where("shingle is null").select("doc_id", "n", "set_id", "check")
-    common = found.where("shingle is not null").groupBy("shingle").agg(F.sum("held").alias("held")).orderBy(F.desc("held"), "shingle").limit(s.frequent).toPandas()
+    common = found.where("shingle is not null").groupBy("shingle").agg(F.sum("held").alias("held")).where(F.col("held") >= s.least_count).orderBy(F.desc("held"), "shingle").limit(s.frequent).toPandas()
     order = spark.sparkContext.broadcast(Order(common["shingle"].to_numpy(np.int64).view(np.uint64), common["held"].to_numpy(np.int64)))
     boundary = boundary_of(sets, s)
     postings = rows.mapInArrow(lambda b: posting_batches(b, order.value, words, threshold, boundary), POSTINGS)
 
     by_key = Window.partitionBy("key")
-    first = F.min(F.struct("n", "set_id")).over(by_key)
-    lists = written(postings.withColumn("first", first).withColumn("last", F.max(F.struct("n", "set_id")).over(by_key)).where(F.col("first") != F.col("last")).select("key", "set_id", "n", F.col("first.set_id").alias("first_id"), F.col("first.n").alias("first_n")), "lists")
+    lists = postings.withColumn("first", F.min(F.struct("pos", "set_id", "n")).over(by_key)).withColumn("low", F.min("set_id").over(by_key)).withColumn("high", F.max("set_id").over(by_key))
+    lists = written(lists.where("low <> high").select("key", "set_id", "n", "pos", F.col("first.set_id").alias("first_id"), F.col("first.n").alias("first_n"), F.col("first.pos").alias("first_pos")), "lists")
     representatives = written(sets.where("n > 0").groupBy("set_id", "check").agg(F.min("doc_id").alias("doc_id")), "representatives")
     texts = representatives.groupBy("set_id").agg(F.min("doc_id").alias("doc_id")), rows
 
-    stars = lists.where((F.col("set_id") != F.col("first_id")) & (F.col("first_n") * 100 >= F.col("n") * s.threshold)).select(F.col("first_id").alias("a"), F.col("set_id").alias("b")).distinct()
+    stars = lists.where((F.col("set_id") != F.col("first_id")) & within("", "first_", threshold)).select(F.col("first_id").alias("a"), F.col("set_id").alias("b")).distinct()
     stars = written(stars, "stars")
     links = written(verified(stars, texts, s), "links")
     label = components(links)
-    near = written(lists.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "n", F.coalesce("component", "set_id").alias("component")).distinct(), "near")
+    near = written(lists.join(label.withColumnRenamed("node", "set_id"), "set_id", "left").select("key", "set_id", "n", "pos", F.coalesce("component", "set_id").alias("component")).distinct(), "near")
     mixed = near.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("key")
     left = near.join(mixed, "key", "left_semi")
     x, y = left.alias("x"), left.alias("y")
-    size = (F.col("x.n") * 100 >= F.col("y.n") * s.threshold) & (F.col("y.n") * 100 >= F.col("x.n") * s.threshold)
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & size).select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
+    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component")) & within("x.", "y.", threshold)).select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = written(rest.join(tried, ["a", "b"], "left_anti"), "rest")
     more = written(verified(rest, texts, s), "links")

@@ -1,7 +1,8 @@
 """Toxicity scores from a small convolutional text classifier, trained here in numpy.
 
-A word (lower-cased, without leading and trailing marks) has the sum of two rows of a hashed embedding table, one of the
-whole word and one of its first bytes, so that inflected forms share what they learn.  Filters of widths 1, 2 and 3 pass over
+A word (lower-cased, without leading and trailing marks) has the sum of two rows of an embedding table keyed by hash, one of
+the whole word and one of its first bytes, so that inflected forms share what they learn.  Hashes that fewer than
+``least_documents`` training texts hold can't tell classes apart and have a row of zeros.  Filters of widths 1, 2 and 3 pass over
 the word sequence, the maximum of each filter over the whole text is kept, and a logistic output follows.  A bounded sample
 of labelled texts trains it by Adam.  Thresholds are calibrated by language: a multinomial model over the same hashed
 words, learned from the training rows' language tags, guesses a text's language from the text alone; on rows set aside
@@ -36,9 +37,11 @@ BLOCK_WORDS = 1 << 15
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled rows that training uses, per class; texts over ``sample_bytes`` aren't trained on."""
+    """``sample_rows`` bounds the labelled rows that training uses, per class; texts over ``sample_bytes`` aren't trained on.
+    Training passes over them ``epochs`` times, more often if that makes fewer than ``least_steps`` updates;
+    each time a text shows each of its words with probability ``keep_words``, so that no single one is learnt by heart."""
 
-    buckets: int = 1 << 15
+    least_documents: int = 3
     dimensions: int = 8
     filters: int = 5
     prefix_bytes: int = 4
@@ -46,8 +49,11 @@ class Settings:
     sample_rows: int = 4000
     sample_bytes: int = 20_000
     epochs: int = 8
+    least_steps: int = 800
     batch: int = 32
     rate: float = 0.02
+    keep_words: float = 0.5
+    shrink: float = 0.01
     decay: float = 1e-5
     calibration_share: float = 0.2
     seed: int = 11
@@ -55,9 +61,10 @@ class Settings:
 
 @dataclass
 class Model:
-    """``table``: of each embedding row its contribution to each (width, position) of each filter, then its log probability in each language."""
+    """``known``: sorted hashes of the rows from 1 on; row 0 stands for all others.  ``table``: of each embedding row its contribution to each (width, position) of each filter, then its log probability in each language."""
 
     settings: Settings
+    known: np.ndarray = field(default_factory=lambda: np.empty(0, np.uint64))
     table: np.ndarray | None = None
     bias: np.ndarray | None = None
     out: np.ndarray | None = None
@@ -98,10 +105,17 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
-def pair_of(word: bytes, settings: Settings) -> tuple[int, int]:
-    """The two embedding rows of a word."""
-    bare = word.strip(MARKS)
-    return xxhash.xxh32_intdigest(bare) % settings.buckets, xxhash.xxh32_intdigest(bare[: settings.prefix_bytes], 1) % settings.buckets
+def hashes_of(words: list[bytes], settings: Settings) -> np.ndarray:
+    """The two hashes of each word, as rows."""
+    bare = [w.strip(MARKS) for w in words]
+    return np.array([[xxhash.xxh64_intdigest(b), xxhash.xxh64_intdigest(b[: settings.prefix_bytes], 1)] for b in bare], np.uint64).reshape(-1, 2)
+
+
+def rows_of(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(hashes.shape, np.int64)
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[at] == hashes, at + 1, 0)
 
 
 class Rows:
@@ -124,7 +138,7 @@ class Rows:
             if self.model.table is not None:
                 while len(self.sums) < len(self.known):
                     self.sums = np.concatenate([self.sums, np.empty_like(self.sums)])
-                pairs = np.array([pair_of(w, self.model.settings) for w in new])
+                pairs = rows_of(self.model.known, hashes_of(new, self.model.settings))
                 self.sums[len(self.known) - len(new) : len(self.known)] = self.model.table[pairs[:, 0]] + self.model.table[pairs[:, 1]]
         return self.sums[at] if self.model.table is not None else np.empty((len(at), 0), np.float32)
 
@@ -135,13 +149,13 @@ def train(texts: list[bytes | None], toxic: list[int], langs: list[str | None],
     y = np.array(toxic, np.float32)
     if not 0 < y.sum() < len(y):
         return model
-    known: dict[bytes, tuple[int, int]] = {}
-    ids = []
-    for t in texts:
-        words = words_of(t)
-        for w in set(words).difference(known):
-            known[w] = pair_of(w, settings)
-        ids.append(np.array([known[w] for w in words], np.int32).reshape(-1, 2))
+    words = Numbered()
+    split = [numbers(words_of(t), words) for t in texts]
+    hashes = hashes_of(words.new, settings)
+    names, documents = np.unique(np.concatenate([np.unique(hashes[w]) for w in split]), return_counts=True)
+    model.known = names[documents >= settings.least_documents]
+    pairs = rows_of(model.known, hashes)
+    ids = [pairs[w] for w in split]
     order = rng.permutation(len(ids))
     held = order[: max(1, int(len(ids) * settings.calibration_share))]
     used = order[len(held) :]
@@ -152,17 +166,20 @@ def train(texts: list[bytes | None], toxic: list[int], langs: list[str | None],
 
 def _fit_language(model: Model, ids: list[np.ndarray], langs: list[str | None]) -> np.ndarray:
     model.languages = sorted({x for x in langs if x})
-    counts = np.full((model.settings.buckets, len(model.languages)), 0.1)
+    counts = np.full((len(model.known) + 1, len(model.languages)), 0.1)
     for i, lang in zip(ids, langs):
         if lang:
-            counts[:, model.languages.index(lang)] += np.bincount(i.ravel(), minlength=model.settings.buckets)
-    return np.log(counts / counts.sum(0)).astype(np.float32)
+            counts[:, model.languages.index(lang)] += np.bincount(i.ravel(), minlength=len(counts))
+    logs = np.log(counts / counts.sum(0)).astype(np.float32)
+    logs[0] = 0
+    return logs
 
 
 def _fit_filters(model: Model, ids: list[np.ndarray], y: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     s = model.settings
     n_out = s.filters * len(s.widths)
-    p = {"emb": rng.normal(0, 0.1, (s.buckets, s.dimensions)).astype(np.float32), "out": rng.normal(0, 0.3, n_out).astype(np.float32), "b": np.zeros(1, np.float32)}
+    p = {"emb": rng.normal(0, 0.1, (len(model.known) + 1, s.dimensions)).astype(np.float32), "out": rng.normal(0, 0.3, n_out).astype(np.float32), "b": np.zeros(1, np.float32)}
+    p["emb"][0] = 0
     for w in s.widths:
         p[f"w{w}"] = rng.normal(0, 0.3, (w, s.dimensions, s.filters)).astype(np.float32)
         p[f"b{w}"] = np.zeros(s.filters, np.float32)
@@ -170,7 +187,7 @@ def _fit_filters(model: Model, ids: list[np.ndarray], y: np.ndarray, rng: np.ran
     second = {k: np.zeros_like(v) for k, v in p.items()}
     step = 0
     balance = (len(y) - y.sum()) / max(1, y.sum())
-    for _ in range(s.epochs):
+    for _ in range(max(s.epochs, -(-s.least_steps * s.batch // max(1, len(ids))))):
         order = rng.permutation(len(ids))
         for at in range(0, len(order), s.batch):
             step += 1
@@ -178,7 +195,7 @@ def _fit_filters(model: Model, ids: list[np.ndarray], y: np.ndarray, rng: np.ran
             rows_all, grads_all = [], []
             chosen = order[at : at + s.batch]
             for k in chosen:
-                x = ids[k]
+                x = ids[k][rng.random(len(ids[k])) < s.keep_words]
                 if not len(x):
                     continue
                 e = p["emb"][x[:, 0]] + p["emb"][x[:, 1]]
@@ -216,8 +233,10 @@ def _fit_filters(model: Model, ids: list[np.ndarray], y: np.ndarray, rng: np.ran
                 where, back = np.unique(np.concatenate(rows_all), return_inverse=True)
                 g = np.zeros((len(where), s.dimensions), np.float32)
                 np.add.at(g, back, np.concatenate(grads_all))
+                g[where == 0] = 0
                 first["emb"][where] = 0.9 * first["emb"][where] + 0.1 * g
                 second["emb"][where] = 0.99 * second["emb"][where] + 0.01 * g * g
+                p["emb"][where] *= 1 - s.shrink
                 p["emb"][where] -= s.rate * first["emb"][where] / (np.sqrt(second["emb"][where]) + 1e-6)
     model.bias = np.stack([p[f"b{w}"] for w in s.widths])
     model.out, model.out_bias = p["out"], float(p["b"][0])
@@ -261,7 +280,7 @@ def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of SCHEMA.  The model is of fixed size (``buckets`` x widths x filters) and is broadcast."""
+    """Rows of SCHEMA.  The model is of fixed size (hashes known from the sample x widths x filters) and is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(lambda b: score_batches(b, shared.value), SCHEMA)

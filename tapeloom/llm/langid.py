@@ -63,7 +63,7 @@ class Model:
             for run in LETTERS.findall(w.decode("utf-8", "replace").lower()):
                 runs.append(run)
                 owner.append(i)
-        if not runs:
+        if not runs or not self.languages:
             return total, counts, letters
         hashes, valid, which = positions(runs, self.settings.order)
         p = np.full((len(which), len(self.languages)), self.floor)

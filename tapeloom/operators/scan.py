@@ -3,60 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import log
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "symbol", order: str = "time", seed: str = "first", span: int = 1, block: int = 128) -> DataFrame:
+def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "symbol", order: str = "time", seed: str = "first", span: int = 1, block: int = 1024) -> DataFrame:
     """Adds ``out`` with y(t) = (1 - alpha) * y(t-1) + alpha * x(t) for each key.
 
     ``seed="first"`` starts at the first non-null value; ``seed="sma"`` starts at row ``span`` of the non-null values with their mean, rows
     before it are null.  Null values are left out of the recurrence and carry the last y.
 
-    Rows are numbered and cut into blocks of ``block``.  Within a block, y is a prefix sum of inputs weighted by powers of
-    1 - alpha that stay bounded; the carry into a block comes from a fold over the key's block ends only, so what
-    one row holds together is the number of blocks of a key, not its rows.
+    Non-null rows are numbered and cut into blocks.  Within a block, y is a prefix sum of inputs weighted by powers of 1 - alpha,
+    and blocks are short enough for these not to overflow; the carry into a block is a fold over the ends of the key's earlier
+    blocks, of which a row sees one for every ``block`` rows before it.  All windows are by key, so one shuffle serves
+    every scan of a chain, and no row is joined.
     """
     d = 1.0 - alpha
-    w = Window.partitionBy(key).orderBy(order)
-    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
+    block = max(1, min(block, int(600 / -log(d)))) if 0 < d < 1 else 1
+    by_key = Window.partitionBy(key)
+    sofar = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     x = F.col(value).cast("double")
     rows = df.withColumn("__k", F.when(x.isNotNull(), F.count(x).over(sofar)))
-    if seed == "sma":
-        rows = rows.withColumn("__mean", F.avg(F.when(F.col("__k") <= span, x)).over(Window.partitionBy(key)))
-        start = span
-        term = F.when(F.col("__k") == span, F.col("__mean")).when(F.col("__k") > span, x * alpha)
-    else:
-        start = 1
-        term = F.when(F.col("__k") == 1, x).when(F.col("__k") > 1, x * alpha)
+    start = span if seed == "sma" else 1
+    first = F.avg(F.when(F.col("__k") <= span, x)).over(by_key) if seed == "sma" else x
     n = F.col("__k") - start  # 0 at the seed
-    rows = rows.withColumn("__b", F.floor(n / block)).withColumn("__i", n % block).withColumn("__a", F.when(n >= 0, term))
-    # Horner's scheme as a prefix sum: y(i) = d^i * (carry * d + sum of a(j) * d^-j), scaled by d^-(block-1) at most
-    block_w = Window.partitionBy(key, "__b").orderBy("__k").rowsBetween(Window.unboundedPreceding, 0)
-    step = max(1, min(block, int(700 / max(1e-9, -_ln(d)))) if d > 0 else 1)
-    if step < block:
-        return affine_scan(df, value, alpha, out, key, order, seed, span, step)
-    rows = rows.withColumn("__s", F.sum(F.col("__a") * F.pow(F.lit(d), -F.col("__i"))).over(block_w)) if d > 0 else rows.withColumn("__s", F.col("__a"))
-    ends = rows.where(F.col("__a").isNotNull()).groupBy(key, "__b").agg(F.max_by(F.col("__s") * F.pow(F.lit(d), F.col("__i")), "__k").alias("end"), F.max("__i").alias("last"))
-    fold = F.aggregate(
-        F.sort_array(F.collect_list(F.struct("__b", "end", "last"))),
-        F.struct(F.lit(0.0).alias("y"), F.array().cast("array<struct<b:bigint,carry:double>>").alias("out")),
-        lambda acc, e: F.struct((e["end"] + acc["y"] * F.pow(F.lit(d), e["last"] + 1)).alias("y"), F.concat(acc["out"], F.array(F.struct(e["__b"].alias("b"), acc["y"].alias("carry")))).alias("out")),
-        lambda acc: acc["out"],
-    )
-    carries = ends.groupBy(key).agg(F.explode(fold).alias("__c")).select(key, F.col("__c.b").alias("__b"), F.col("__c.carry").alias("__carry"))
-    rows = rows.join(carries, [key, "__b"], "left")
-    y = F.col("__s") * F.pow(F.lit(d), F.col("__i")) + F.coalesce("__carry", F.lit(0.0)) * F.pow(F.lit(d), F.col("__i") + 1)
-    rows = rows.withColumn(out, F.when(F.col("__a").isNotNull(), y))
-    rows = rows.withColumn(out, F.last(out, ignorenulls=True).over(sofar))
-    return rows.drop("__k", "__b", "__i", "__a", "__s", "__carry", "__mean")
-
-
-def _ln(x: float) -> float:
-    import math
-
-    return math.log(x)
+    rows = rows.withColumn("__a", F.when(n == 0, first).when(n > 0, x * alpha)).withColumn("__b", F.floor(n / block)).withColumn("__i", n % block)
+    within = Window.partitionBy(key, "__b")
+    power = lambda e: F.pow(F.lit(d), e)
+    total = F.sum(F.col("__a") * power(-F.col("__i"))).over(within.orderBy("__k").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("__s", total * power(F.col("__i")) if block > 1 else F.col("__a"))
+    last = F.col("__a").isNotNull() & (F.col("__k") == F.max("__k").over(within))
+    rows = rows.withColumn("__end", F.when(last, F.struct(F.col("__s").alias("s"), F.col("__i").alias("i"))))
+    carry = F.aggregate(F.collect_list("__end").over(before), F.lit(0.0), lambda y, e: e["s"] + y * power(e["i"] + 1))
+    rows = rows.withColumn(out, F.when(F.col("__a").isNotNull(), F.col("__s") + carry * power(F.col("__i") + 1)))
+    return rows.withColumn(out, F.last(out, ignorenulls=True).over(sofar)).drop("__k", "__a", "__b", "__i", "__s", "__end")
 
 
 def keep_columns(df: DataFrame, like: DataFrame, extra: Sequence[str]) -> DataFrame:

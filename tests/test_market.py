@@ -10,6 +10,7 @@ from tapeloom.functions import industry, rules
 from tapeloom.operators import adjust as adj
 from tapeloom.operators import indicators as ind
 from tapeloom.operators import joins, macro, resample, statements, valuation
+from tapeloom.operators.scan import affine_scan
 from tapeloom.plans import incremental
 from tapeloom.plans.hub import Hub
 from tapeloom.plans.pipeline import Pipeline
@@ -51,9 +52,10 @@ def test_affine_scan_matches_recurrence_over_many_blocks(spark):
     random.seed(1)
     x = [random.gauss(0, 1) if i % 37 else None for i in range(1500)]
     b = spark.createDataFrame([("a", i, v) for i, v in enumerate(x)], "symbol string, time int, close double")
-    for n in (9, 26, 50):
-        got = {r.time: r[f"ema_{n}"] for r in ind.EMA(n, seed="first").apply(b).collect()}
-        y, a = None, 2 / (n + 1)
+    for n, block in ((9, 1024), (26, 64), (50, 7), (1, 1024)):
+        a = 2 / (n + 1)
+        got = {r.time: r.y for r in affine_scan(b, "close", a, "y", block=block).collect()}
+        y = None
         for i, v in enumerate(x):
             if v is not None:
                 y = v if y is None else (1 - a) * y + a * v

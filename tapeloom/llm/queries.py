@@ -29,7 +29,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     members, _ = jaccard.join(table(spark, sf_dir, "documents"))
-    return members.select("doc_id", "n_shingles", "component_id", "representative")
+    return members.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,5 +71,32 @@ def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_pseudonyms, op2_packing, op3_ngram_jaccard, op4_embedding_neardup, op5_html_text, op6_bloom_lm, op7_media, op8_byte_bpe, op9_toxicity, op10_language_id)}
 
 
+_REACHED = """
+  e AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+  reached(id, least_id) AS (SELECT id, id FROM ids UNION SELECT e.b, r.least_id FROM reached r JOIN e ON e.a = r.id),
+  part AS (SELECT id, min(least_id) AS component_id FROM reached GROUP BY id)"""
+
+JACCARD_SQL = f"""
+WITH RECURSIVE
+  d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+  s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d),
+  c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+  both_have AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+  links AS (SELECT a, b FROM both_have JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * o >= 75 * (ca.n + cb.n - o)),
+  ids AS (SELECT doc_id AS id FROM d),{_REACHED}
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, part.component_id FROM d LEFT JOIN c USING (doc_id) JOIN part ON part.id = d.doc_id
+"""
+
+NEARDUP_SQL = f"""
+WITH RECURSIVE
+  v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id < q.vec_id AND len(p.x) = len(q.x)
+            WHERE list_dot_product(p.x, q.x) / sqrt(list_dot_product(p.x, p.x) * list_dot_product(q.x, q.x)) >= 0.93),
+  ids AS (SELECT vec_id AS id FROM embeddings),{_REACHED}
+SELECT id AS vec_id, (SELECT count(*) FROM e WHERE e.a = part.id) AS n_links, component_id, id = component_id AS kept FROM part
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Both by all pairs, without the operators' methods; the other operators rest on models, tokenizers or formats that SQL has not."""
+    return {"op3_ngram_jaccard": JACCARD_SQL, "op4_embedding_neardup": NEARDUP_SQL}

@@ -5,9 +5,10 @@ import random
 import numpy as np
 import pytest
 from helpers import SF, documents, empty, hard
+from oracle import differences
 from pyspark.sql import functions as F
 
-from tapeloom.llm import graph, jaccard, neardup
+from tapeloom.llm import graph, jaccard, neardup, queries
 
 
 def roots(nodes, links):
@@ -146,3 +147,8 @@ def test_plan_reaches_its_recall():
 def test_embedding_query(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet")
     assert neardup.find(rows)[0].count() == rows.count()
+
+
+@pytest.mark.parametrize("name", ["op3_ngram_jaccard", "op4_embedding_neardup"])
+def test_queries_equal_their_sql(spark, name):
+    assert differences(spark, queries.queries()[name], queries.oracle_sql()[name], SF) == []

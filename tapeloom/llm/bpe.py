@@ -6,6 +6,9 @@ neighbouring positions with the merge table, and contracts each word's leftmost
 word has a pair left.  An ordered aggregation over the positions gives each word's ids and decodes them to bytes
 again.  Documents are then strung together from their words' ids, and decoded from their words' decoded bytes.
 
+A single word of over LONG_WORD bytes would take the query a step, over all its positions, for each of its contractions; such
+words are contracted in the same order from a heap instead.
+
 The merge table has every pair of ranked tokens whose concatenation is ranked; its size is fixed by the vocabulary.
 
 Edge cases: null or empty text: no ids, and the hash of nothing; texts of any length, in words; repeated rows give
@@ -17,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import Numbered, gather, numbers, slices
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+#: Bytes of a word from which on a heap contracts it.
+LONG_WORD = 1000
 #: Ids of remembered chunks after which all are forgotten.
 HELD_IDS = 8_000_000
 _ENCODERS: dict[tuple[str, str], WordEncoder] = {}
@@ -99,8 +105,41 @@ class WordEncoder:
         self.chunk_flat, self.chunk_starts, self.chunk_lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
         self.chunk_decoded: list[bytes] = []
 
+    def contract_long(self, raw: bytes) -> list[int]:
+        """One long word's ids: leftmost pair of minimum rank first, from a heap of (rank, position)."""
+        parts: list[bytes | None] = [raw[i : i + 1] for i in range(len(raw))]
+        after, before = list(range(1, len(raw) + 1)), list(range(-1, len(raw) - 1))
+
+        def pair(i: int) -> tuple[int, int, int] | None:
+            if i < 0 or after[i] >= len(parts) or (rank := self.ranks.get(parts[i] + parts[after[i]])) is None:
+                return None
+            return rank, i, after[after[i]]
+
+        heap = [p for p in map(pair, range(len(raw))) if p]
+        heapify(heap)
+        while heap:
+            rank, i, end = heappop(heap)
+            if parts[i] is None or pair(i) != (rank, i, end):
+                continue
+            gone = after[i]
+            parts[i], parts[gone], after[i] = parts[i] + parts[gone], None, end
+            if end < len(parts):
+                before[end] = i
+            for k in (before[i], i):
+                if found := pair(k):
+                    heappush(heap, found)
+        return [self.ranks[p] for p in parts if p is not None]
+
     def learn(self, words: list[str], block: int = 50_000) -> None:
-        """Ids and decoded bytes of pre-tokens, by the recursive query."""
+        """Ids and decoded bytes of pre-tokens, by the recursive query; long ones by the heap."""
+        names = {i: t for t, i in self.ranks.items()} if any(len(w) > LONG_WORD // 4 for w in words) else {}
+        for w in [w for w in words if len(w.encode("utf-8", "surrogatepass")) > LONG_WORD]:
+            ids = self.contract_long(w.encode("utf-8", "surrogatepass"))
+            self.words[w] = len(self.starts)
+            self.starts, self.lengths = np.append(self.starts, len(self.flat)), np.append(self.lengths, len(ids))
+            self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+            self.decoded.append(b"".join([names[i] for i in ids]))
+        words = [w for w in words if w not in self.words]
         for at in range(0, len(words), block):
             part = words[at : at + block]
             raw = [w.encode("utf-8", "surrogatepass") for w in part]

@@ -137,3 +137,13 @@ def test_bpe_on_any_text(encoders, texts):
     own, ref = encoders
     for t, (ids, parts) in zip(texts, own.encode(texts)):
         assert ids.tolist() == ref.encode_ordinary(t) and b"".join(parts) == t.encode()
+
+
+def test_words_of_any_length(encoders):
+    own, ref = encoders
+    rng = np.random.default_rng(2)
+    texts = ["a" * 100_000, "ab" * 40_000, "".join(rng.choice(list("abcdehinorst"), 30_000)), "é" * 5000 + " x", "the" * 300]
+    for t, (ids, parts) in zip(texts, own.encode(texts)):
+        assert b"".join(parts) == t.encode() and (len(t) > 50_000 or ids.tolist() == ref.encode_ordinary(t))
+    short = ["".join(rng.choice(list("abcdehinorst"), 200)) for _ in range(20)]
+    assert [own.contract_long(t.encode()) for t in short] == [ref.encode_ordinary(t) for t in short]

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, mix, shared_dir, slices, word_hashes, written
+from .common import WordHash, hold, mix, shared_dir, slices, word_hashes, written
 
 SCHEMA = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 #: Hashes of the two tokens that no word can be: words hold no white space.
@@ -65,6 +65,7 @@ def block_of(h: np.ndarray) -> np.ndarray:
 
 def count_batches(batches: Iterator[pa.RecordBatch], pairs: bool, flush: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """(block, hash, n): this task's counts of words or of word pairs."""
+    hold("bloomlm", _WORDS.clear)
     held: list[np.ndarray] = []
 
     def counted() -> pa.RecordBatch:
@@ -204,6 +205,7 @@ class Shard:
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.RecordBatch]:
+    hold("bloomlm", _WORDS.clear)
     for batch, texts in slices(batches):
         _WORDS.trim()
         n, known, base, score = zip(*shard.score(texts))

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, gather, numbers, slices
+from .common import Numbered, gather, hold, numbers, slices
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Bytes of a word from which on a heap contracts it.
@@ -204,6 +204,7 @@ class WordEncoder:
 
 
 def encoder(path: str, pattern: str) -> WordEncoder:
+    hold("bpe", _ENCODERS.clear)
     if (path, pattern) not in _ENCODERS:
         _ENCODERS[path, pattern] = WordEncoder(path, pattern)
     return _ENCODERS[path, pattern]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -87,6 +90,24 @@ class WordHash(dict):
             self.clear()
 
 
+_HELD: dict[str, Callable[[], object]] = {}
+
+
+def hold(name: str, forget: Callable[[], object] = lambda: None) -> None:
+    """Say that operator ``name`` works in this process now: what others have remembered here goes back to the system first.
+
+    Spark keeps Python workers for the next job, so without this a pipeline would pile up every stage's memory.
+    """
+    others = [n for n in _HELD if n != name]
+    for n in others:
+        _HELD.pop(n)()
+    _HELD[name] = forget
+    if others:
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Numbered(dict):
     """key -> its number by order of first lookup; ``new`` has the keys numbered since it was last emptied."""
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHash, mix, shared_dir, slices, word_hashes, written
+from .common import WordHash, hold, mix, shared_dir, slices, word_hashes, written
 from .graph import components
 
 _WORDS = WordHash()
@@ -85,9 +85,10 @@ def signed(values) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
-def set_batches(batches: Iterator[pa.RecordBatch], words: int, local_count: int, flush: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def set_batches(batches: Iterator[pa.RecordBatch], words: int, local_count: int, flush: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     """Rows of SETS: one for each document, and one for each shingle that several different sets of this task hold."""
     names = [x.split()[0] for x in SETS.split(", ")]
+    hold("jaccard", _WORDS.clear)
     seen: set[int] = set()
     held: list[np.ndarray] = []
 
@@ -150,6 +151,7 @@ def keys_of(s: np.ndarray, order: Order, threshold: int, boundary: int) -> tuple
 
 def posting_batches(batches: Iterator[pa.RecordBatch], order: Order, words: int, threshold: int, boundary: int) -> Iterator[pa.RecordBatch]:
     """Rows of POSTINGS, once for each distinct set of this task."""
+    hold("jaccard", _WORDS.clear)
     seen: set[int] = set()
     for _, texts in slices(batches):
         _WORDS.trim()
@@ -174,6 +176,7 @@ def within(a: str, b: str, threshold: int) -> Column:
 
 
 def linked_batches(batches: Iterator[pa.RecordBatch], words: int, threshold: int) -> Iterator[pa.RecordBatch]:
+    hold("jaccard", _WORDS.clear)
     for batch, left in slices(batches, "text_a"):
         _WORDS.trim()
         right = [t.as_py() for t in batch.column(batch.schema.get_field_index("text_b")).cast(pa.binary())]

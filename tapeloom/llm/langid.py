@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Numbered, mix, numbers, slices
+from .common import Numbered, hold, mix, numbers, slices
 
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 UNKNOWN = "und"
+#: Words scored at once.
+BLOCK_WORDS = 10_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -195,7 +197,7 @@ def hash_of(i) -> int:
 class Words:
     """Word sums by distinct word, remembered up to ``limit`` words."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
+    def __init__(self, model: Model, limit: int = 150_000):
         self.model, self.limit = model, limit
         self.clear()
 
@@ -210,14 +212,17 @@ class Words:
             self.known.new = []
             while len(self.sums) < len(self.known):
                 self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-            total, counts, letters = self.model.letters(new)
-            self.sums[len(self.known) - len(new) : len(self.known)] = np.column_stack([total, counts, letters])
+            first = len(self.known) - len(new)
+            for k in range(0, len(new), BLOCK_WORDS):
+                part = new[k : k + BLOCK_WORDS]
+                self.sums[first + k : first + k + len(part)] = np.column_stack(self.model.letters(part))
         for a in at:
             got = self.sums[a].sum(0, dtype=np.float64)
             yield got[:-2], float(got[-2]), float(got[-1])
 
 
 def predict_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    hold("langid")
     words = Words(model)
     for batch, texts in slices(batches):
         lang, score, entropy, rejected = zip(*[model.predict(*x) for x in words(texts)])
@@ -231,6 +236,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
 
 def keep_batches(batches: Iterator[pa.RecordBatch], model: Model, text_col: str) -> Iterator[pa.RecordBatch]:
+    hold("langid")
     words = Words(model)
     for batch, texts in slices(batches, text_col):
         yield batch.filter(pa.array([not model.predict(*x)[3] for x in words(texts)], pa.bool_()))

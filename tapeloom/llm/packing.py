@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, gather, numbers, slices
+from .common import Numbered, gather, hold, numbers, slices
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 #: Tokens and documents after which a group is packed.
@@ -167,6 +167,7 @@ class Packer:
 
 
 def pack_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int, linear: float, quadratic: float) -> Iterator[pa.RecordBatch]:
+    hold("packing", _TOKENIZERS.clear)
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokens(path)
     tokens, packer = _TOKENIZERS[path], Packer(capacity, linear, quadratic)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, numbers, slices
+from .common import Numbered, hold, numbers, slices
 
 SCHEMA = "doc_id long, score double, language_guess string"
 MARKS = (string.punctuation + string.whitespace).encode()
@@ -121,7 +121,7 @@ def rows_of(known: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 class Rows:
     """Words' sums of table rows, each distinct word summed once and remembered up to ``limit`` words."""
 
-    def __init__(self, model: Model, limit: int = 300_000):
+    def __init__(self, model: Model, limit: int = 120_000):
         self.model, self.limit = model, limit
         self.clear()
 
@@ -273,6 +273,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    hold("toxicity")
     rows = Rows(model)
     for batch, texts in slices(batches):
         got = [model.score(rows(words_of(t))) for t in texts]
@@ -287,6 +288,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_batches(batches: Iterator[pa.RecordBatch], model: Model, text_col: str, limit: float) -> Iterator[pa.RecordBatch]:
+    hold("toxicity")
     rows = Rows(model)
     for batch, texts in slices(batches, text_col):
         keep = pa.array([model.score(rows(words_of(t)))[0] < limit for t in texts], pa.bool_())

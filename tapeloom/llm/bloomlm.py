@@ -9,8 +9,8 @@ context is known; all counts in it come from membership probes.
 
 Words' exact counts, for the base score, are a sorted array of hashes that is broadcast as well.  Both are measured
 first: while pair blocks exceed ``broadcast_bytes``, or words ``broadcast_words``, the hash space is cut into shards
-and the texts are passed over once a shard, each adding up the tokens whose counts that shard has.  What every pass needs, the words'
-filter, has about two bytes a distinct word; beyond ``broadcast_bytes`` it is refused rather than broadcast.
+and the texts, numbered once in a written table, are passed over once a shard, each adding up the tokens whose counts that shard has;
+a row's sums meet by its number, so repeated and null ids stay rows of their own.  What every pass needs, the words' filter, has about two bytes a distinct word; beyond ``broadcast_bytes`` it is refused rather than broadcast.
 
 Edge cases: null and empty texts are the end token alone; a text is scored whole, in slices; equal texts get equal
 scores; without training texts every count is 0; an empty table gives no rows; only id, text and the training
@@ -196,12 +196,10 @@ class Shard:
         weight = context / (context + self.settings.trust)
         share = np.divide(np.minimum(double[back_g], context), context, out=np.zeros(len(word)), where=context > 0)
         model = np.where(here[back_g], np.log10(weight * share + (1 - weight) * word), 0)
-        sums = [np.concatenate([[0], np.cumsum(x)])[ends] for x in (seen, base, model)]
-        last = [0, 0.0, 0.0]
-        for k, t in enumerate(tokens):
-            now = [x[k] for x in sums]
-            yield len(t), int(now[0] - last[0]), float(now[1] - last[1]), float(now[2] - last[2])
-            last = now
+        begins = ends - [len(t) for t in tokens]
+        sums = [np.add.reduceat(x, begins) for x in (seen.astype(np.int64), base, model)]  # a text's own sum, wherever it stands in the slice
+        for t, known, b, m in zip(tokens, *sums):
+            yield len(t), int(known), float(b), float(m)
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.RecordBatch]:
@@ -210,7 +208,11 @@ def score_batches(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[p
         _WORDS.trim()
         n, known, base, score = zip(*shard.score(texts))
         i64, f64 = pa.int64(), pa.float64()
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, i64), pa.array(known, i64), pa.array([shard.total] * len(n), i64), pa.array(base, f64), pa.array(score, f64)], names=[x.split()[0] for x in SCHEMA.split(", ")])
+        columns = [batch.column(0), pa.array(n, i64), pa.array(known, i64), pa.array([shard.total] * len(n), i64), pa.array(base, f64), pa.array(score, f64)]
+        names = [x.split()[0] for x in SCHEMA.split(", ")]
+        if shard.parts > 1:
+            columns, names = [*columns, batch.column(batch.schema.get_field_index("row")), pa.array([shard.part] * len(n), pa.int32())], [*names, "row", "part"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def fitted(docs: DataFrame, training: Column, s: Settings, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -242,6 +244,9 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings(), id
     parts = max(1, -(-sizes[1] // s.broadcast_bytes), -(-distinct // s.broadcast_words))
     word_filter = Filter(word_blocks.toArrow().to_pandas().itertuples(index=False), s.probes)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    schema = SCHEMA
+    if parts > 1:
+        rows, schema = written(rows.withColumn("row", F.monotonically_increasing_id()), "numbered-texts"), f"{SCHEMA}, row long, part int"
     scored = None
     for part in range(parts):
         here = F.shiftright(F.col("block").cast("long") * parts, BLOCK_BITS) == part
@@ -250,8 +255,13 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings(), id
         known, n = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
         order = np.argsort(known)
         shard = spark.sparkContext.broadcast(Shard(part, parts, s, int(total), int(distinct), word_filter, pair_filter, known[order], n[order]))
-        got = rows.mapInArrow(lambda b, shard=shard: score_batches(b, shard.value), SCHEMA)
+        got = rows.mapInArrow(lambda b, shard=shard: score_batches(b, shard.value), schema)
         scored = got if scored is None else scored.unionByName(got)
     if parts > 1:
-        scored = scored.groupBy("doc_id").agg(F.first("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"), F.first("train_tokens").alias("train_tokens"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score"))
+
+        def summed(c: str) -> Column:  # in the order of the shards, so that equal texts get equal sums
+            return F.aggregate(F.array_sort(F.collect_list(F.struct("part", c))), F.lit(0.0), lambda a, x: a + x[c]).alias(c)
+
+        firsts = [F.first(c).alias(c) for c in ("doc_id", "n_tokens", "train_tokens")]
+        scored = scored.groupBy("row").agg(*firsts, F.sum("n_known").alias("n_known"), summed("base_score"), summed("score")).select(*[x.split()[0] for x in SCHEMA.split(", ")])
     return scored

@@ -168,6 +168,14 @@ def test_shards_agree_on_the_score(spark):
         bloomlm.score(docs, F.lit(True), bloomlm.Settings(broadcast_bytes=10))
 
 
+def test_rows_of_one_id_or_none_stay_apart_in_shards(spark):
+    texts = [r.text for r in documents(spark).limit(12).collect()]
+    docs = hard(spark, [(5, texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[2]), (None, texts[3]), (None, None), *enumerate(texts, 100)])
+    one, many = (sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in bloomlm.score(docs, F.lit(True), s).collect()) for s in (bloomlm.Settings(), bloomlm.Settings(broadcast_words=300)))
+    assert len(one) == len(many) == 18 and [x[:3] for x in one] == [x[:3] for x in many]
+    assert all(x[3:] == pytest.approx(y[3:]) for x, y in zip(one, many))
+
+
 def test_filter_gives_quantised_counts_back():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**63, 20_000).astype(np.uint64) * np.uint64(2) + np.uint64(1))

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -15,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text that one slice of an Arrow batch holds at most (a longer single text makes a slice of its own).
@@ -147,3 +148,70 @@ def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.
 def crc_bucket(column: str, modulus: int):
     """crc32 of an id as text, modulo ``modulus``: fixes which rows are held out."""
     return F.crc32(F.col(column).cast("string")) % modulus
+
+
+#: A long text is trained on in runs of about this length.
+RUN_BYTES = 400
+_SPACE = re.compile(rb"\s")
+
+
+def runs_of(text: bytes, limit: int) -> bytes:
+    """``text``; where it is longer than ``limit`` bytes, runs of its words from all over it, chosen by hash, in their order."""
+    if len(text) <= limit:
+        return text
+    cuts = [0]
+    for at in range(RUN_BYTES, len(text), RUN_BYTES):
+        space = _SPACE.search(text, at, at + RUN_BYTES)
+        while not space and at < len(text) and text[at] & 0xC0 == 0x80:  # without white space, between two characters
+            at += 1
+        cuts.append(space.end() if space else at)
+    cuts.append(len(text))
+    order = sorted(range(len(cuts) - 1), key=lambda k: xxhash.xxh64_intdigest(text[cuts[k] : cuts[k + 1]], k))
+    chosen, room = [], limit
+    for k in order:
+        room -= cuts[k + 1] - cuts[k] + 1
+        if room < 0 and chosen:
+            break
+        chosen.append(k)
+    chosen.sort()
+    return b"".join(text[cuts[k] : cuts[k + 1]] + (b"" if k + 1 == after else b" ") for k, after in zip(chosen, [*chosen[1:], -1]))
+
+
+def fair_share(sizes: list[int], total: int, most: int) -> int:
+    """The largest limit up to ``most`` at which texts of ``sizes``, each cut to it, have ``total`` bytes at most."""
+    left, rest = total, sorted(sizes)
+    for k, size in enumerate(rest):
+        if min(size, most) * (len(rest) - k) > left:
+            return left // (len(rest) - k)
+        left -= min(size, most)
+    return most
+
+
+def run_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, texts in slices(batches):
+        limits = batch.column(batch.schema.get_field_index("most")).to_pylist()
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array([runs_of(t, m) for t, m in zip(texts, limits)], pa.binary()))
+
+
+def training_sample(keys: DataFrame, texts: DataFrame, rows: int, text_bytes: int, group_bytes: int, same: Column | None = None):
+    """A pandas table (id, grp, text, lang), one row an id, of at most ``rows`` ids of each group: the lowest by a hash of the id.
+
+    ``keys`` has id, unique, with its grp and the size of its text in bytes; ``texts`` has id, text, lang, and ``same`` says which of an id's rows
+    is meant, besides that size.  A text over ``text_bytes``, or over its fair share of ``group_bytes``, comes as runs of words from all over it,
+    cut in the tasks, so that no length keeps a text out and only the bounded sample reaches the driver.
+    """
+    by = Window.partitionBy("grp").orderBy("h", "id")
+    ranked = keys.withColumn("h", F.xxhash64("id")).withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= rows)
+    chosen = ranked.select("id", "grp", "size").collect()
+    sizes: dict = {}
+    for r in chosen:
+        sizes.setdefault(r.grp, []).append(r.size)
+    most = {g: fair_share(s, group_bytes, text_bytes) for g, s in sizes.items()}
+    types = dict(keys.dtypes)
+    limits = keys.sparkSession.createDataFrame([(r.id, r.grp, r.size, most[r.grp]) for r in chosen], f"id {types['id']}, grp {types['grp']}, size int, most int")
+    found = texts.join(F.broadcast(limits), "id").where(F.octet_length("text") == F.col("size"))
+    if same is not None:
+        found = found.where(same)
+    found = found.select("id", "grp", "text", "lang", "most").mapInArrow(run_batches, f"id {types['id']}, grp {types['grp']}, text binary, lang string, most int")
+    return found.groupBy("id").agg(F.min(F.struct("text", "grp", "lang")).alias("x")).select("id", "x.grp", "x.text", "x.lang").toPandas().sort_values("id")

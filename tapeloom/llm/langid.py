@@ -21,10 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, hold, mix, numbers, slices
+from .common import Numbered, hold, mix, numbers, slices, training_sample
 
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 UNKNOWN = "und"
@@ -35,11 +35,13 @@ LETTERS = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the texts a language, ``sample_bytes`` the length of a text used to train."""
+    """``sample_rows`` and ``language_bytes`` bound the texts a language and their bytes.  Of a text over ``sample_bytes``, or over its
+    fair share of ``language_bytes``, training uses runs of words from all over it, up to that length."""
 
     order: int = 4
     sample_rows: int = 400
     sample_bytes: int = 20_000
+    language_bytes: int = 3_000_000
     calibration_share: float = 0.25
     quantile: float = 0.995
     margin: float = 0.5
@@ -178,16 +180,14 @@ def train(texts: list[bytes], langs: list[str], settings: Settings = Settings())
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Train on at most ``settings.sample_rows`` tagged texts of each language, the lowest by a hash of the id; only they reach the driver."""
-    tagged = docs.where(F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= settings.sample_bytes))
-    keys = tagged.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang")).withColumn("h", F.xxhash64("id"))
-    by = Window.partitionBy("lang").orderBy("h", "id")
-    chosen = keys.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= settings.sample_rows).select("id").distinct()
-    rows = tagged.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    got = rows.join(F.broadcast(chosen), "id", "left_semi").toPandas()
-    got = got.sort_values(["id", "text", "lang"]).drop_duplicates("id") if len(got) else got
+    """Train on at most ``settings.sample_rows`` tagged texts of each language, the lowest by a hash of the id; long ones by runs of words.
+    Only that sample reaches the driver.  Of documents that share an id, the first by language, then the shortest, counts."""
+    s = settings
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
+    keys = rows.groupBy("id").agg(F.min(F.struct("lang", F.octet_length("text").alias("size"))).alias("x")).select("id", F.col("x.lang").alias("grp"), "x.size")
+    got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.language_bytes, F.col("lang") == F.col("grp"))
     got = got.iloc[np.argsort([hash_of(i) for i in got["id"]])] if len(got) else got
-    return train([t.encode() for t in got["text"]], got["lang"].tolist(), settings)
+    return train([bytes(t) for t in got["text"]], got["lang"].tolist(), settings)
 
 
 def hash_of(i) -> int:

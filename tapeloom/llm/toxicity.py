@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, hold, numbers, slices
+from .common import Numbered, hold, numbers, slices, training_sample
 
 SCHEMA = "doc_id long, score double, language_guess string"
 MARKS = (string.punctuation + string.whitespace).encode()
@@ -37,7 +37,8 @@ BLOCK_WORDS = 1 << 15
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` bounds the labelled rows that training uses, per class; texts over ``sample_bytes`` aren't trained on.
+    """``sample_rows`` and ``class_bytes`` bound the labelled rows that training uses, and their text, per class.  Of a text over ``sample_bytes``,
+    or over its fair share of ``class_bytes``, training uses runs of words from all over it, up to that length.
     Training passes over them ``epochs`` times, more often if that makes fewer than ``least_steps`` updates;
     each time a text shows each of its words with probability ``keep_words``, so that no single one is learnt by heart."""
 
@@ -48,6 +49,7 @@ class Settings:
     widths: tuple[int, ...] = (1, 2, 3)
     sample_rows: int = 4000
     sample_bytes: int = 20_000
+    class_bytes: int = 24_000_000
     epochs: int = 8
     least_steps: int = 800
     batch: int = 32
@@ -262,14 +264,14 @@ def _calibrate(model: Model, ids: list[np.ndarray], y: np.ndarray, held: np.ndar
 
 
 def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", lang_col: str = "lang") -> Model:
-    """Train on at most ``settings.sample_rows`` of the labelled rows of each class, the lowest by a hash of the id, of texts up to
-    ``settings.sample_bytes``.  Only those rows reach the driver; they are found by a broadcast of their ids."""
-    keys = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).withColumn("h", F.xxhash64("id"))
-    parts = [keys.where(F.col("y") == y).orderBy("h", "id").limit(settings.sample_rows) for y in (0, 1)]
-    chosen = parts[0].unionByName(parts[1]).groupBy("id").agg(F.max("y").alias("y"))
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.octet_length("text") <= settings.sample_bytes)
-    got = rows.join(F.broadcast(chosen), "id").select("id", "text", "y", "lang").toPandas().sort_values(["id", "text"]).drop_duplicates("id")
-    return train([t.encode() for t in got["text"]], got["y"].tolist(), [x if isinstance(x, str) else None for x in got["lang"]], settings)
+    """Train on at most ``settings.sample_rows`` of the labelled documents of each class, the lowest by a hash of the id; long texts by runs of words.
+    Only that sample reaches the driver.  Of documents that share an id the shortest counts; an id labelled both ways is toxic."""
+    s = settings
+    y = labels.where(F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("grp"))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("text").isNotNull())
+    keys = rows.groupBy("id").agg(F.min(F.octet_length("text")).alias("size")).join(y, "id")
+    got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.class_bytes)
+    return train([bytes(t) for t in got["text"]], got["grp"].tolist(), [x if isinstance(x, str) else None for x in got["lang"]], settings)
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

@@ -9,7 +9,7 @@ import pytest
 from helpers import SF, documents, empty, hard
 from pyspark.sql import functions as F
 
-from tapeloom.llm import bloomlm, langid, queries, toxicity
+from tapeloom.llm import bloomlm, common, langid, queries, toxicity
 
 
 def bucket(i, m):
@@ -138,6 +138,32 @@ def test_language_query(spark):
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in got if r.held_out]) > 0.95
 
 
+def test_long_texts_are_learnt_too(spark):
+    """A language, or a class, whose training texts all exceed sample_bytes is known by runs of their words."""
+    rows = [(i, f"{t} " * (60 if x == "cc" else 1), x) for i, t, x in language_sample()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, langid.Settings(sample_bytes=4000))
+    got = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    assert model.languages == ["aa", "bb", "cc"] and all(got[i].lang_pred == x and not got[i].rejected for i, _, x in rows)
+    toxic = [(i, f"{t} " * 20, x, y) for i, t, x, y in toxic_sample(150)]
+    docs = spark.createDataFrame(toxic, "doc_id long, text string, lang string, toxic int")
+    stray = docs.select((F.col("doc_id") + 1000).alias("doc_id"), "toxic")  # labels of no document take no one's place
+    model = toxicity.fit(docs.unionByName(docs).drop("toxic"), stray.unionByName(docs.select("doc_id", "toxic")), toxicity.Settings(least_steps=400, sample_bytes=3000, sample_rows=100))
+    right = {r.doc_id: (r.score >= 0.5) for r in toxicity.score(docs, model).collect()}
+    assert model.out is not None and np.mean([right[i] == bool(y) for i, _, _, y in toxic]) > 0.8
+
+
+def test_runs_come_from_all_over_a_text():
+    text = " ".join(f"w{i}é" for i in range(20_000)).encode()
+    got = common.runs_of(text, 5000)
+    words = got.decode().split()
+    assert 4000 < len(got) <= 5000 and set(words) <= set(text.decode().split()) and words == sorted(words, key=lambda w: int(w[1:-1]))
+    assert int(words[0][1:-1]) < 5000 and int(words[-1][1:-1]) > 15_000 and common.runs_of(text, len(text)) == text
+    solid = common.runs_of("日本語".encode() * 9000, 3000)
+    assert 2000 < len(solid) <= 3000 and set(solid.decode()) <= set("日本語 ")
+    assert common.fair_share([10, 100, 100], 1000, 50) == 50 and common.fair_share([10, 100, 100], 110, 80) == 50 and common.fair_share([], 5, 7) == 7
+
+
 def brute_base(rows, training):
     c = Counter()
     words = {r.doc_id: [*(r.text or "").encode().lower().split(), b" end"] for r in rows}

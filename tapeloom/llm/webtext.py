@@ -2,11 +2,12 @@
 
 1. Each page's containers are scored: a block of text counts, without its linked characters, for the container that
    holds it and half for the next one out; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-   reader comments don't count.  The best container votes for its path of tags and classes, numbers in classes generalised.
+   reader comments don't count.  The best container is lifted to the outermost ancestor whose further text is main text too (see ``lifted``), so that a
+   heading and lead beside sections stay with them, and votes for its path of tags and classes, numbers in classes generalised.
 2. Votes are summed by host and path in Spark, combined before the shuffle; a host's paths of at least
    ``share`` of its votes win, up to ``paths`` of them (only a page in which none of them occurs falls back, see 3).
-3. Each page is read again: the text of its elements at the host's best-voted path that it has is extracted; a page with none of
-   them keeps its own best container.  Nothing else is dropped: every block of that container's text comes out, in page order.
+3. Each page is read again: of the host's winning paths that it has, the one with the highest product of other pages' votes and share of this page's
+   text is extracted, so that a small box at a common path doesn't replace the article of a rarer layout; a page with none of them keeps its own best container.  Nothing else is dropped: every block of that container's text comes out, in page order.
 
 Winning paths are broadcast up to a checked number of hosts, and joined by host beyond it.
 
@@ -44,6 +45,9 @@ UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted promotion related respond replies search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 
+#: Characters from which a block outside articles is taken for prose.
+PROSE = 80
+
 
 class Node:
     __slots__ = ("tag", "parent", "name", "excluded", "link", "holder", "_path")
@@ -155,21 +159,54 @@ def best_container(found: list[tuple[str, Node, int]]) -> tuple[str, float]:
             score[outer.path] = score.get(outer.path, 0) + n / 2
     if not score:
         return "", 0.0
-    path = max(score, key=score.__getitem__)
-    return path, score[path] / max(1, sum(len(t) for t, _, _ in found))
-
-
-def text_at(found: list[tuple[str, Node, int]], paths: list[str]) -> str:
-    """The text under the first of ``paths`` that the page has, or under its own best container."""
+    path = lifted(found, max(score, key=score.__getitem__))
+    under = {k for k, h in {id(h): h for _, h, _ in found}.items() if path in chain_of(h)}
+    return path, sum(len(t) for t, h, _ in found if id(h) in under) / max(1, sum(len(t) for t, _, _ in found))
+
+
+def chain_of(node: Node) -> dict[str, bool]:
+    """The paths of an element and those around it, innermost first, each with whether it is an article or main element or lies in one."""
+    up = []
+    while node is not None:
+        up.append(node)
+        node = node.parent
+    out, inside = {}, False
+    for x in reversed(up):
+        inside |= x.tag in ("article", "main")
+        out[x.path] = inside
+    return dict(reversed(out.items()))
+
+
+def lifted(found: list[tuple[str, Node, int]], path: str) -> str:
+    """The outermost path around ``path`` that adds more main text than other text: in an article or main element every block counts as main text
+    unless most of it is linked, elsewhere only one of at least ``PROSE`` characters does."""
+    chains: dict[int, dict[str, bool]] = {id(h): chain_of(h) for _, h, _ in found}
+    around = next((list(c.items()) for c in chains.values() if path in c), [])
+    around = around[[p for p, _ in around].index(path) + 1 :] if around else []
+    for outer, inside in around:
+        added = 0
+        for text, h, linked in found:
+            c = chains[id(h)]
+            if outer in c and path not in c:
+                main = 2 * linked <= len(text) and (inside or len(text) >= PROSE)
+                added += len(text) - linked if main else -len(text)
+        if added > 0:
+            path = outer
+    return path
+
+
+def text_at(found: list[tuple[str, Node, int]], paths: list[str], votes: list[int] | None = None) -> str:
+    """The text under that of ``paths`` which other pages' votes times the share of this page's text favour, or under its own best container.
+
+    This page's own vote is no agreement and counts a tenth."""
     holders = {id(h): h for _, h, _ in found}
-    chains: dict[int, set[str]] = {}
-    for k, h in holders.items():
-        chain, node = set(), h
-        while node is not None:
-            chain.add(node.path)
-            node = node.parent
-        chains[k] = chain
-    for path in [*paths, best_container(found)[0], ""]:
+    chains = {k: chain_of(h) for k, h in holders.items()}
+    own = best_container(found)[0]
+    weight = {}
+    for path, n in zip(paths, votes or [1] * len(paths)):
+        covered = sum(len(text) - linked for text, h, linked in found if path in chains[id(h)])
+        weight[path] = (n - 0.9 * (path == own)) * covered
+    for path in [*sorted(paths, key=lambda p: -weight[p]), own, ""]:
         got = [text for text, h, _ in found if path in chains[id(h)]]
         if got:
             return "\n".join(got)
@@ -184,7 +221,8 @@ def vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, pages in slices(batches, "html"):
-        texts = [text_at(blocks((p or b"").decode("utf-8", "replace")), w or []) for p, w in zip(pages, batch.column(batch.schema.get_field_index("paths")).to_pylist())]
+        paths, votes = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("paths", "votes"))
+        texts = [text_at(blocks((p or b"").decode("utf-8", "replace")), w or [], v) for p, w, v in zip(pages, paths, votes)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 
@@ -198,12 +236,13 @@ class Settings:
 
 
 def winning_paths(pages: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """host, paths: of each host its winning paths, most votes first.  ``pages`` has host and html."""
+    """host, paths, votes: of each host its winning paths, most votes first, and their votes.  ``pages`` has host and html."""
     votes = pages.select("host", "html").mapInArrow(vote_batches, "host string, path string, share double").where("path <> ''")
     votes = votes.groupBy("host", "path").agg(F.count("*").alias("votes"), F.sum("share").alias("share"))
     ranked = votes.withColumn("of", F.sum("votes").over(Window.partitionBy("host"))).withColumn("rank", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path")))
     won = ranked.where((F.col("rank") == 1) | ((F.col("votes") >= s.share * F.col("of")) & (F.col("rank") <= s.paths)))
-    return won.groupBy("host").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "path"))), lambda x: x["path"]).alias("paths"))
+    listed = won.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("rank", "path", "votes"))).alias("won"))
+    return listed.select("host", F.col("won.path").alias("paths"), F.col("won.votes").alias("votes"))
 
 
 def extract(pages: DataFrame, settings: Settings = Settings(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -214,4 +253,4 @@ def extract(pages: DataFrame, settings: Settings = Settings(), id_col: str = "pa
     won = winning_paths(rows, settings).checkpoint()
     if won.count() <= settings.broadcast_hosts:
         won = F.broadcast(won)
-    return rows.join(won, "host", "left").select("page_id", "url", "html", "paths").mapInArrow(extract_batches, SCHEMA)
+    return rows.join(won, "host", "left").select("page_id", "url", "html", "paths", "votes").mapInArrow(extract_batches, SCHEMA)

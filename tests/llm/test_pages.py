@@ -39,6 +39,26 @@ def test_hosts_agree_on_a_path(spark):
     assert webtext.extract(df.limit(0)).count() == 0
 
 
+def test_headings_and_leads_beside_sections_stay():
+    prose = "A sentence of the main text that is long enough to be taken for prose by anybody who reads it. "
+    sections = "".join(f"<section><h2>Part {k}</h2><p>{prose * 3}</p></section>" for k in range(4))
+    got = webtext.text_at(webtext.blocks(f"<body><article><h1>Title</h1><p>Lead.</p>{sections}</article><div><a href=x>{prose}</a></div></body>"), []).split("\n")
+    assert got[:3] == ["Title", "Lead.", "Part 0"] and len(got) == 10
+    table = "<table>" + f"<tr><td>{prose * 2}</td></tr>" * 3 + "</table>"
+    got = webtext.text_at(webtext.blocks(f"<body><div class=story><p>Lead: {prose}</p>{table}</div><div class=x>Short note</div></body>"), []).split("\n")
+    assert got[0].startswith("Lead:") and len(got) == 4
+
+
+def test_two_templates_on_one_host(spark):
+    def text(k):
+        return f"Sentence {k} of the main text of a page. " * 9
+
+    first = [(k, f"http://t.example/{k}", f"<body><div class=box><p>{text(k)}</p></div></body>") for k in range(6)]
+    second = [(k, f"http://t.example/{k}", f"<body><div class=box><p>Box.</p></div><div class=story><p>{text(k)}</p></div></body>") for k in range(6, 10)]
+    got = webtext.extract(spark.createDataFrame(first + second, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: text(k).strip() for k in range(10)}
+
+
 def test_query_on_given_pages(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     got = {r.page_id: r.text for r in queries.op5_html_text(spark, SF).collect()}

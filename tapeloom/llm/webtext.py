@@ -12,7 +12,7 @@
 Winning paths are broadcast up to a checked number of hosts, and joined by host beyond it.
 
 Edge cases: null or empty html gives an empty text; a page without any container is read from its root; unclosed and stray
-tags, comments and scripts are closed where their surroundings end; repeated rows give equal texts; ties in votes go to the
+tags, comments and scripts are closed where their surroundings end; a page of any depth, or of any number of broken tags, is read in one pass; repeated rows give equal texts; ties in votes go to the
 first path by name; a null url is a host of its own; an empty table gives no rows; further columns are neither read nor returned.
 """
 
@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +32,13 @@ from .common import shared_dir, slices
 
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|iframe|svg|textarea|title)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/!?][^>]*>", re.S | re.I)
+_ATTRIBUTES = r"""(?:[^<>"']|"[^"]*"|'[^']*'|["'])*+"""
+#: No alternative reads on past the next < but within quotes, a comment or an element whose content isn't markup, so reading is linear on broken pages too.
+TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|iframe|svg|textarea|title)\b" + _ATTRIBUTES + r">.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)(" + _ATTRIBUTES + r")(?:>|(?=<)|\Z)|<[/!?][^<>]*+(?:>|(?=<)|\Z)",
+    re.S | re.I,
+)
 CLASS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 # Kinds of HTML elements, and names that sites give to what isn't their main text.
@@ -50,19 +57,118 @@ PROSE = 80
 
 
 class Node:
-    __slots__ = ("tag", "parent", "name", "excluded", "link", "holder", "_path")
+    """An element: ``path`` stands for its tags and classes from the root, ``holder`` is the container around it, ``inside`` says that it is or lies in an article or main element.
 
-    def __init__(self, tag: str, parent: Node | None, name: str, excluded: bool, link: bool):
-        self.tag, self.parent, self.name, self.excluded, self.link = tag, parent, name, excluded, link
-        self.holder = self if parent is None or tag in CONTAINERS else parent.holder
-        self._path: str | None = None
+    ``barrier`` is the place in the stack of the innermost element that implied closing can't pass.  ``sums``: of the text held below it, see ``weighed``."""
 
-    @property
-    def path(self) -> str:
-        if self._path is None:
-            self._path = self.name if self.parent is None else f"{self.parent.path}/{self.name}"
-        return self._path
+    __slots__ = ("tag", "parent", "path", "excluded", "link", "holder", "inside", "barrier", "sums")
 
+    def __init__(self, tag: str, parent: Node | None, name: str, excluded: bool, link: bool, place: int):
+        self.tag, self.parent, self.excluded, self.link = tag, parent, excluded, link
+        self.holder = self if parent is None or tag in CONTAINERS else parent.holder
+        self.path = "" if parent is None else xxhash.xxh3_128_hexdigest(f"{parent.path}/{name}".encode("utf-8", "surrogatepass"))
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        stops = tag in CONTAINERS and tag not in ("tr", "td", "th") or tag in ("ul", "ol", "dl", "table")
+        self.barrier = place if stops or parent is None else parent.barrier
+        self.sums = None
+
+
+class Page:
+    """``blocks``: text, container, linked characters, in page order.  ``nodes``: parents before children."""
+
+    def __init__(self, html: str):
+        self.blocks: list[tuple[str, Node, int]] = []
+        self.nodes = [Node("", None, "", False, False, 0)]
+        self._read(html)
+        self.sums = self._weighed()
+
+    def _read(self, html: str) -> None:
+        stack, out, parts = [self.nodes[0]], self.blocks, []
+        places: dict[str, list[int]] = {}  # of each tag, where it is open in the stack
+        linked, owner = 0, stack[0]
+
+        def flush() -> None:
+            nonlocal linked
+            if parts:
+                text = " ".join("".join(parts).split())
+                if text:
+                    out.append((text, owner, min(linked, len(text))))
+                parts.clear()
+            linked = 0
+
+        def add(raw: str) -> None:
+            nonlocal linked, owner
+            top = stack[-1]
+            if not top.excluded:
+                text = unescape(raw) if "&" in raw else raw
+                if not parts:
+                    if not text.strip():
+                        return
+                    owner = top.holder
+                parts.append(text)
+                if top.link:
+                    linked += len(text)
+
+        def close(place: int) -> None:
+            for node in stack[place:]:
+                places[node.tag].pop()
+            del stack[place:]
+
+        at = 0
+        for m in TOKEN.finditer(html):
+            if m.start() > at:
+                add(html[at : m.start()])
+            at = m.end()
+            tag = (m[3] or "").lower()
+            if not tag:
+                if m[0].startswith("<![CDATA["):
+                    add(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
+                continue
+            if tag in BLOCKS:
+                flush()
+            if m[2]:
+                if places.get(tag):
+                    close(places[tag][-1])
+                continue
+            if tag in VOID:
+                continue
+            # what the start of this tag implies closed: an open paragraph, or a sibling
+            shut = SIBLINGS.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+            place = max((places[x][-1] for x in shut if places.get(x)), default=0)
+            if place and place >= stack[-1].barrier:
+                close(place)
+            name, unwanted = named(tag, m[4])
+            top = stack[-1]
+            if not m[4].endswith("/") or tag in BLOCKS:
+                places.setdefault(tag, []).append(len(stack))
+                stack.append(Node(tag, top, name, top.excluded or unwanted or tag in EXCLUDED, top.link or tag == "a", len(stack)))
+                self.nodes.append(stack[-1])
+        if at < len(html):
+            add(html[at:])
+        flush()
+
+    def _weighed(self) -> dict[str, list[int]]:
+        """By path, over its elements' blocks: characters; characters not linked; and the main text less the other text, as an article counts it and as the rest of a page does:
+        in an article or main element every block counts as main text unless most of it is linked, elsewhere only one of at least ``PROSE`` characters does."""
+        for text, holder, linked in self.blocks:
+            n, mostly = len(text), 2 * linked <= len(text)
+            more = n, n - linked, n - linked if mostly else -n, n - linked if mostly and n >= PROSE else -n
+            holder.sums = [a + b for a, b in zip(holder.sums or (0, 0, 0, 0), more)]
+        out: dict[str, list[int]] = {}
+        for node in reversed(self.nodes):
+            if node.sums:
+                if node.parent:
+                    node.parent.sums = [a + b for a, b in zip(node.parent.sums or (0, 0, 0, 0), node.sums)]
+                out[node.path] = [a + b for a, b in zip(out.get(node.path, (0, 0, 0, 0)), node.sums)]
+        return out
+
+    def under(self, path: str) -> list[str]:
+        """The blocks in elements of ``path``."""
+        inside: set[int] = set()
+        for node in self.nodes:
+            if node.path == path or node.parent is not None and id(node.parent) in inside:
+                inside.add(id(node))
+        return [text for text, holder, _ in self.blocks if id(holder) in inside]
 
 def named(tag: str, attributes: str) -> tuple[str, bool]:
     """A tag with its generalised classes, and whether its names say that it isn't main text."""
@@ -76,82 +182,10 @@ def named(tag: str, attributes: str) -> tuple[str, bool]:
     return tag + classes, unwanted
 
 
-def blocks(html: str) -> list[tuple[str, Node, int]]:
-    """The page's blocks of wanted text in order: text, innermost element, linked characters."""
-    root = Node("", None, "", False, False)
-    stack, out, parts = [root], [], []
-    linked, owner = 0, root
-
-    def flush() -> None:
-        nonlocal linked
-        if parts:
-            text = " ".join("".join(parts).split())
-            if text:
-                out.append((text, owner, min(linked, len(text))))
-            parts.clear()
-        linked = 0
-
-    def add(raw: str) -> None:
-        nonlocal linked, owner
-        top = stack[-1]
-        if not top.excluded:
-            text = unescape(raw) if "&" in raw else raw
-            if not parts:
-                if not text.strip():
-                    return
-                owner = top.holder
-            parts.append(text)
-            if top.link:
-                linked += len(text)
-
-    at = 0
-    for m in TOKEN.finditer(html):
-        if m.start() > at:
-            add(html[at : m.start()])
-        at = m.end()
-        tag = (m[3] or "").lower()
-        if not tag:
-            if m[0].startswith("<![CDATA["):
-                add(m[0][9:].removesuffix("]]>").replace("&", "&amp;"))
-            continue
-        if tag in BLOCKS:
-            flush()
-        if m[2]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-            continue
-        if tag in VOID:
-            continue
-        _close(stack, tag)
-        name, unwanted = named(tag, m[4])
-        top = stack[-1]
-        if not m[4].endswith("/") or tag in BLOCKS:
-            stack.append(Node(tag, top, name, top.excluded or unwanted or tag in EXCLUDED, top.link or tag == "a"))
-    if at < len(html):
-        add(html[at:])
-    flush()
-    return out
-
-
-def _close(stack: list[Node], tag: str) -> None:
-    """Close what the start of ``tag`` implies closed: an open paragraph, or a sibling."""
-    shut = SIBLINGS.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-    if not shut:
-        return
-    for k in range(len(stack) - 1, 0, -1):
-        if stack[k].tag in shut:
-            del stack[k:]
-            return
-        if stack[k].tag in CONTAINERS and stack[k].tag not in ("tr", "td", "th") or stack[k].tag in ("ul", "ol", "dl", "table"):
-            return
-
-
-def best_container(found: list[tuple[str, Node, int]]) -> tuple[str, float]:
+def best_container(page: Page) -> tuple[str, float]:
     """The path of the page's best-scored container, and its share of the page's text."""
     score: dict[str, float] = {}
-    for text, holder, linked in found:
+    for text, holder, linked in page.blocks:
         n = len(text) - linked
         score[holder.path] = score.get(holder.path, 0) + n
         outer = holder.parent.holder if holder.parent else None
@@ -159,70 +193,43 @@ def best_container(found: list[tuple[str, Node, int]]) -> tuple[str, float]:
             score[outer.path] = score.get(outer.path, 0) + n / 2
     if not score:
         return "", 0.0
-    path = lifted(found, max(score, key=score.__getitem__))
-    under = {k for k, h in {id(h): h for _, h, _ in found}.items() if path in chain_of(h)}
-    return path, sum(len(t) for t, h, _ in found if id(h) in under) / max(1, sum(len(t) for t, _, _ in found))
+    path = lifted(page, max(score, key=score.__getitem__))
+    return path, page.sums[path][0] / max(1, page.sums[""][0])
 
 
-def chain_of(node: Node) -> dict[str, bool]:
-    """The paths of an element and those around it, innermost first, each with whether it is an article or main element or lies in one."""
-    up = []
+def lifted(page: Page, path: str) -> str:
+    """The outermost path around ``path`` that adds more main text than other text."""
+    node = next(n for n in page.nodes if n.path == path).parent
     while node is not None:
-        up.append(node)
+        kind = 2 if node.inside else 3
+        if page.sums[node.path][kind] > page.sums[path][kind]:
+            path = node.path
         node = node.parent
-    out, inside = {}, False
-    for x in reversed(up):
-        inside |= x.tag in ("article", "main")
-        out[x.path] = inside
-    return dict(reversed(out.items()))
-
-
-def lifted(found: list[tuple[str, Node, int]], path: str) -> str:
-    """The outermost path around ``path`` that adds more main text than other text: in an article or main element every block counts as main text
-    unless most of it is linked, elsewhere only one of at least ``PROSE`` characters does."""
-    chains: dict[int, dict[str, bool]] = {id(h): chain_of(h) for _, h, _ in found}
-    around = next((list(c.items()) for c in chains.values() if path in c), [])
-    around = around[[p for p, _ in around].index(path) + 1 :] if around else []
-    for outer, inside in around:
-        added = 0
-        for text, h, linked in found:
-            c = chains[id(h)]
-            if outer in c and path not in c:
-                main = 2 * linked <= len(text) and (inside or len(text) >= PROSE)
-                added += len(text) - linked if main else -len(text)
-        if added > 0:
-            path = outer
     return path
 
 
-def text_at(found: list[tuple[str, Node, int]], paths: list[str], votes: list[int] | None = None) -> str:
+def text_at(page: Page, paths: list[str], votes: list[int] | None = None) -> str:
     """The text under that of ``paths`` which other pages' votes times the share of this page's text favour, or under its own best container.
 
     This page's own vote is no agreement and counts a tenth."""
-    holders = {id(h): h for _, h, _ in found}
-    chains = {k: chain_of(h) for k, h in holders.items()}
-    own = best_container(found)[0]
-    weight = {}
-    for path, n in zip(paths, votes or [1] * len(paths)):
-        covered = sum(len(text) - linked for text, h, linked in found if path in chains[id(h)])
-        weight[path] = (n - 0.9 * (path == own)) * covered
+    own = best_container(page)[0]
+    weight = {path: (n - 0.9 * (path == own)) * page.sums.get(path, (0, 0))[1] for path, n in zip(paths, votes or [1] * len(paths))}
     for path in [*sorted(paths, key=lambda p: -weight[p]), own, ""]:
-        got = [text for text, h, _ in found if path in chains[id(h)]]
-        if got:
-            return "\n".join(got)
+        if path in page.sums:
+            return "\n".join(page.under(path))
     return ""
 
 
 def vote_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, pages in slices(batches, "html"):
-        path, share = zip(*[best_container(blocks((p or b"").decode("utf-8", "replace"))) for p in pages])
+        path, share = zip(*[best_container(Page((p or b"").decode("utf-8", "replace"))) for p in pages])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(path, pa.string()), pa.array(share, pa.float64())], names=["host", "path", "share"])
 
 
 def extract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, pages in slices(batches, "html"):
         paths, votes = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("paths", "votes"))
-        texts = [text_at(blocks((p or b"").decode("utf-8", "replace")), w or [], v) for p, w, v in zip(pages, paths, votes)]
+        texts = [text_at(Page((p or b"").decode("utf-8", "replace")), w or [], v) for p, w, v in zip(pages, paths, votes)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
 

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from helpers import SF
 
@@ -21,10 +22,10 @@ def page(n):
 
 
 def test_blocks_of_a_page():
-    assert webtext.text_at(webtext.blocks(page(7)), []) == WANT.format(n=7)
-    assert webtext.blocks("") == [] and webtext.text_at(webtext.blocks("a<b>c"), []) == "ac"
-    assert webtext.text_at(webtext.blocks("<p>x <!-- open"), []) == "x"
-    assert webtext.text_at(webtext.blocks("<p>1 &lt; 2<script>if (a</b) x"), []) == "1 < 2"
+    assert webtext.text_at(webtext.Page(page(7)), []) == WANT.format(n=7)
+    assert webtext.Page("").blocks == [] and webtext.text_at(webtext.Page("a<b>c"), []) == "ac"
+    assert webtext.text_at(webtext.Page("<p>x <!-- open"), []) == "x"
+    assert webtext.text_at(webtext.Page("<p>1 &lt; 2<script>if (a</b) x"), []) == "1 < 2"
 
 
 def test_hosts_agree_on_a_path(spark):
@@ -42,10 +43,10 @@ def test_hosts_agree_on_a_path(spark):
 def test_headings_and_leads_beside_sections_stay():
     prose = "A sentence of the main text that is long enough to be taken for prose by anybody who reads it. "
     sections = "".join(f"<section><h2>Part {k}</h2><p>{prose * 3}</p></section>" for k in range(4))
-    got = webtext.text_at(webtext.blocks(f"<body><article><h1>Title</h1><p>Lead.</p>{sections}</article><div><a href=x>{prose}</a></div></body>"), []).split("\n")
+    got = webtext.text_at(webtext.Page(f"<body><article><h1>Title</h1><p>Lead.</p>{sections}</article><div><a href=x>{prose}</a></div></body>"), []).split("\n")
     assert got[:3] == ["Title", "Lead.", "Part 0"] and len(got) == 10
     table = "<table>" + f"<tr><td>{prose * 2}</td></tr>" * 3 + "</table>"
-    got = webtext.text_at(webtext.blocks(f"<body><div class=story><p>Lead: {prose}</p>{table}</div><div class=x>Short note</div></body>"), []).split("\n")
+    got = webtext.text_at(webtext.Page(f"<body><div class=story><p>Lead: {prose}</p>{table}</div><div class=x>Short note</div></body>"), []).split("\n")
     assert got[0].startswith("Lead:") and len(got) == 4
 
 
@@ -67,3 +68,11 @@ def test_query_on_given_pages(spark):
         parts = re.split(r"</?(?:p|h1|br)>", re.search(r"<article>(.*?)</article>", h, re.S)[1])
         clean = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in parts)
         assert got[i] == "\n".join(x for x in clean if x)
+
+
+def test_deep_and_broken_pages_take_no_longer_than_their_length():
+    texts = ["<div>" * 100_000 + "x", "<div>t " * 20_000, "<p>" + "<span>" * 100_000 + "</p>" * 100_000, "<a b " * 200_000, "<script " * 100_000, '<a "' * 200_000, "<!" * 300_000, "<li><div>" + "<span>" * 50_000 + "<li></li>" * 50_000]
+    began = time.process_time()
+    got = [webtext.text_at(webtext.Page(t), []) for t in texts]
+    assert got[0] == "x" and got[1] == "\n".join(["t"] * 20_000) and time.process_time() - began < 60
+    assert webtext.text_at(webtext.Page("<p>a <b x <i>c</i> <a href='1>2'>d</a"), []) == "a c d"

@@ -4,13 +4,15 @@ Numbers and dates are found by pattern, validated, and replaced by another valid
 keyed permutation (a balanced Feistel network of ROUNDS rounds over the two halves of the value, halves mixed by addition
 modulo their sizes), so equal values stay equal in all documents, different ones stay different, and ``reveal`` inverts it:
 
-* payment cards (13 to 19 digits, Luhn): the digits but the last are permuted, and the check digit is computed anew;
-* international bank account numbers (mod 97): letters and digits of the account are permuted, check digits computed anew;
-* telephone numbers with a country code, or in the form (ddd) ddd-dddd or ddd-ddd-dddd: all digits after the country code;
-* social security numbers ddd-dd-dddd: all digits;
-* dates (ISO, dotted, slashed) that exist, 1700 to 2099: the day within that 400-year cycle;
+* payment cards (13 to 19 digits, Luhn, not all zero): the digits but the last are permuted, and the check digit is computed anew;
+* international bank account numbers (mod 97, check digits 02 to 98): letters and digits of the account are permuted, check digits computed anew;
+* telephone numbers with a country code, or in the form (ddd) ddd-dddd or ddd-ddd-dddd: all digits after the country code; in the North American plan (that
+  form, or code 1 and ten digits) the first digits of area and exchange stay among 2 to 9, which numbers in use have, or among 0 and 1;
+* social security numbers ddd-dd-dddd: those that can be issued (area neither 000, 666 nor 9xx, group not 00, serial not 0000) among themselves, those
+  of another area among themselves, and the rest among themselves;
+* dates (ISO, dotted, slashed) that exist, 1700 to 2099: the day within that 400-year cycle; slashed dates that can only be read day first, among themselves;
 * IPv4 addresses: all 32 bits;
-* mail addresses: letters and digits of the part before the @, each within its kind.
+* mail addresses: letters and digits of the part before the @, each within its kind, in runs of 20.
 
 Digits and letters move within their kinds, and all separators stay, so a text keeps its length except for dates and addresses, whose
 fields are written as they come (dates keep their padding).  What doesn't validate stays as it is.
@@ -40,6 +42,8 @@ PATTERNS = {
 CANDIDATE = "|".join(PATTERNS.values())
 #: 400 Gregorian years, and two factors of that number of days.
 CYCLE_DAYS, CYCLE_PARTS, FIRST_DAY = 146_097, (189, 773), "1700-01-01"
+#: Of these the days after the 12th of their month, likewise.
+LATE_DAYS, LATE_PARTS = 88_497, (9, 9833)
 
 
 def _round(key: str, kind: str, i: int, half: Column, size: Column) -> Column:
@@ -109,8 +113,13 @@ def only_digits(m: Column) -> Column:
 
 def card(m: Column, key: str, back: bool) -> Column:
     def run(d: Column) -> Column:
-        payload = permute_digits(F.substr(d, F.lit(1), F.length(d) - 1), key, "card", back)
-        full = bind(payload, lambda p: F.concat(p, ((10 - digit_sum(p, 0) % 10) % 10).cast("string")))
+        def moved(x: Column) -> Column:
+            return permute_digits(x, key, "card", back)
+
+        # zeros alone are no card: what would become them becomes what they would
+        both = F.struct(moved(F.substr(d, F.lit(1), F.length(d) - 1)).alias("p"), moved(F.lpad(F.lit(""), F.length(d) - 1, "0")).alias("z"))
+        first = bind(both, lambda b: F.when(b["p"].rlike("^0+$"), b["z"]).otherwise(b["p"]))
+        full = bind(first, lambda p: F.concat(p, ((10 - digit_sum(p, 0) % 10) % 10).cast("string")))
         return F.when(F.length(d).between(13, 19) & (digit_sum(d, 1) % 10 == 0) & ~d.rlike("^0+$"), refill(m, full, "[0-9]")).otherwise(m)
 
     return bind(only_digits(m), run)
@@ -127,7 +136,7 @@ def iban(m: Column, key: str, back: bool) -> Column:
         country = F.substr(a, F.lit(1), F.lit(2))
         body = permute_kinds(F.substr(a, F.lit(5)), key, "iban", back)
         full = bind(body, lambda b: F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b))
-        valid = F.length(a).between(15, 34) & (mod97(F.concat(F.substr(a, F.lit(5)), F.substr(a, F.lit(1), F.lit(4)))) == 1)
+        valid = F.length(a).between(15, 34) & F.substr(a, F.lit(3), F.lit(2)).between("02", "98") & (mod97(F.concat(F.substr(a, F.lit(5)), F.substr(a, F.lit(1), F.lit(4)))) == 1)
         return F.when(valid, refill(m, full, "[A-Z0-9]")).otherwise(m)
 
     return bind(F.regexp_replace(m, " ", ""), run)
@@ -174,20 +183,59 @@ def mail(m: Column, key: str, back: bool) -> Column:
     return F.concat(permute_kinds(F.substring_index(m, "@", 1), key, "mail", back), F.lit("@"), F.substring_index(m, "@", -1))
 
 
+def number(digits: Column, at: int, n: int) -> Column:
+    return F.substr(digits, F.lit(at), F.lit(n)).cast("long")
+
+
+def padded(n: Column, width: int) -> Column:
+    return F.lpad(n.cast("long").cast("string"), width, "0")
+
+
 def phone(m: Column, key: str, back: bool) -> Column:
     code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
     code = F.when((code == "") & m.startswith("+"), F.substr(m, F.lit(1), F.lit(2))).otherwise(code)
 
+    def north_american(d: Column) -> Column:
+        def low(at: int) -> Column:  # the least value of the three digits from there, by their first
+            return F.when(number(d, at, 1) >= 2, 200).otherwise(0)
+
+        def size(at: int) -> Column:
+            return F.when(number(d, at, 1) >= 2, 800).otherwise(200)
+
+        p = feistel(number(d, 1, 3) - low(1), (number(d, 4, 3) - low(4)) * 10_000 + number(d, 7, 4), size(1), size(4) * 10_000, key, "phone", back)
+        return bind(p, lambda q: F.concat(padded(q["l"] + low(1), 3), padded(F.floor(q["r"] / 10_000) + low(4), 3), padded(q["r"] % 10_000, 4)))
+
     def run(c: Column) -> Column:
         rest = F.substr(m, F.length(c) + 1)
-        return F.concat(c, refill(rest, permute_digits(only_digits(rest), key, "phone", back), "[0-9]"))
+
+        def moved(d: Column) -> Column:
+            return F.when((F.length(d) == 10) & c.isin("", "+1"), north_american(d)).otherwise(permute_digits(d, key, "phone", back))
+
+        return F.concat(c, refill(rest, bind(only_digits(rest), moved), "[0-9]"))
 
     return bind(code, run)
 
 
 def ssn(m: Column, key: str, back: bool) -> Column:
-    d = only_digits(m)
-    return refill(m, permute_digits(d, key, "ssn", back), "[0-9]")
+    """As two numbers below sizes that say which of the three sorts it is."""
+
+    def run(d: Column) -> Column:
+        area, group, serial = number(d, 1, 3), number(d, 4, 2), number(d, 6, 4)
+        other_area = (area == 0) | (area == 666) | (area >= 900)
+        blank = (group == 0) | (serial == 0)
+        left = F.when(other_area, F.when(area == 0, 0).when(area == 666, 1).otherwise(area - 898)).otherwise(area - 1 - (area > 666).cast("int"))
+        right = F.when(other_area, group * 10_000 + serial).when(blank, F.when(group == 0, serial).otherwise(9_999 + group)).otherwise((group - 1) * 9_999 + serial - 1)
+        p = feistel(left, right, F.when(other_area, 102).otherwise(898), F.when(other_area, 1_000_000).when(blank, 10_099).otherwise(989_901), key, "ssn", back)
+
+        def written(q: Column) -> Column:
+            a = F.when(other_area, F.when(q["l"] == 0, 0).when(q["l"] == 1, 666).otherwise(q["l"] + 898)).otherwise(q["l"] + 1 + (q["l"] >= 665).cast("int"))
+            g = F.when(other_area, F.floor(q["r"] / 10_000)).when(blank, F.when(q["r"] < 10_000, 0).otherwise(q["r"] - 9_999)).otherwise(F.floor(q["r"] / 9_999) + 1)
+            s = F.when(other_area, q["r"] % 10_000).when(blank, F.when(q["r"] < 10_000, q["r"]).otherwise(0)).otherwise(q["r"] % 9_999 + 1)
+            return F.concat(padded(a, 3), padded(g, 2), padded(s, 4))
+
+        return refill(m, bind(p, written), "[0-9]")
+
+    return bind(only_digits(m), run)
 
 
 def address(m: Column, key: str, back: bool) -> Column:
@@ -200,13 +248,26 @@ def address(m: Column, key: str, back: bool) -> Column:
 
 
 def date(m: Column, key: str, back: bool) -> Column:
-    """Slashed dates are read month first; if that's no date, day first."""
+    """Slashed dates are read month first; if that's no date, day first, and then their day is after the 12th, as their pseudonym's is."""
+    first_day = F.lit(FIRST_DAY).cast("date")
+
+    def permuted(n: Column, parts: tuple[int, int], kind: str) -> Column:
+        a, b = parts
+        p = feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), key, kind, back)
+        return bind(p, lambda q: q["l"] * b + q["r"]).cast("int")
+
+    def months(d: Column) -> Column:
+        return (F.year(d) - int(FIRST_DAY[:4])) * 12 + F.month(d) - 1
+
+    def late(n: Column) -> Column:
+        """The n-th of the days after the 12th of their month."""
+        guess = F.floor(n * 4800 / LATE_DAYS).cast("int")
+        near = F.transform(F.sequence(guess - 2, guess + 2), lambda k: F.struct(k.alias("k"), F.date_add(first_day, n + 12 * (k + 1)).alias("d")))
+        return F.filter(near, lambda x: (months(x["d"]) == x["k"]) & (F.day(x["d"]) > 12))[0]["d"]
 
-    def moved(d: Column) -> Column:
-        n = F.datediff(d, F.lit(FIRST_DAY).cast("date"))
-        a, b = CYCLE_PARTS
-        p = feistel(F.floor(n / b), n % b, F.lit(a), F.lit(b), key, "date", back)
-        return F.date_add(F.lit(FIRST_DAY).cast("date"), bind(p, lambda q: q["l"] * b + q["r"]).cast("int"))
+    def moved(d: Column, swapped: Column) -> Column:
+        days = F.datediff(d, first_day)
+        return F.when(swapped, bind(permuted(days - 12 * (months(d) + 1), LATE_PARTS, "late"), late)).otherwise(F.date_add(first_day, permuted(days, CYCLE_PARTS, "date")))
 
     def fields(f: Column, iso: Column, dotted: Column) -> Column:
         y = F.when(iso, f[0]).otherwise(f[2])
@@ -233,7 +294,7 @@ def date(m: Column, key: str, back: bool) -> Column:
         def found(x: Column) -> Column:
             d = F.coalesce(x["usual"], x["swapped"])
             ok = d.between(F.lit(FIRST_DAY).cast("date"), F.lit("2099-12-31").cast("date"))
-            return F.when(ok, bind(moved(d), lambda e: write(e, f, iso, dotted, x["usual"].isNull()))).otherwise(m)
+            return F.when(ok, bind(moved(d, x["usual"].isNull()), lambda e: write(e, f, iso, dotted, x["usual"].isNull()))).otherwise(m)
 
         return bind(fields(f, iso, dotted), found)
 

@@ -20,7 +20,8 @@ PSEUDONYM_KEY = "tapeloom"
 
 def op1_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return pii.pseudonymise(docs.withColumn("n_candidates", pii.occurrences(F.col("text"))), PSEUDONYM_KEY)
+    name = next(x for k in range(len(docs.columns) + 1) if (x := "n_candidates" + "_" * k) not in docs.columns)
+    return pii.pseudonymise(docs.withColumn(name, pii.occurrences(F.col("text"))), PSEUDONYM_KEY)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -76,19 +76,77 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
             yield batch.slice(a, b - a), col.slice(a, b - a).to_pylist()
 
 
-class WordHash(dict):
-    """word -> 64-bit hash, remembered for up to ``limit`` words; ``trim`` forgets them all beyond that."""
+class Words:
+    """The words `[^\\x20\\x09-\\x0D]+` of a run of texts, A-Z lower-cased, as 64-bit hashes end to end; text i has those from ``ends[i-1]`` to ``ends[i]``.
+
+    Hashes are made from the texts' bytes as they lie in memory, eight at a time, without an object a word.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        data = np.frombuffer(data.tobytes().lower() + bytes(8), np.uint8)
+        n = len(data) - 8
+        space = _IS_SPACE[data[:n]]
+        edge = np.empty(n + 1, bool)  # whether a word can't go on across the place before each byte
+        edge[0] = edge[n] = True
+        edge[1:n] = space[1:] | space[:-1]
+        edge[offsets] = True
+        inside = ~space
+        starts = np.flatnonzero(inside & edge[:n])
+        stops = np.flatnonzero(inside & edge[1:]) + 1
+        self.ends = np.searchsorted(starts, offsets[1:])
+        self.hashes = _hashed(data, starts, stops - starts)
+
+    def counts(self) -> np.ndarray:
+        return np.diff(self.ends, prepend=0)
+
+
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word from which on it is hashed on its own.
+_LONG = 256
+
+
+def _hashed(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    eights = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    with np.errstate(over="ignore"):
+        h = mix((eights[starts] & _KEEP[np.minimum(sizes, 8)]) + sizes.astype(np.uint64) * _ODD)
+        at, k = np.flatnonzero(sizes > 8), 8
+        while len(at):
+            rest = sizes[at] - k
+            h[at] = mix(h[at] * _ODD + (eights[starts[at] + k] & _KEEP[np.minimum(rest, 8)]))
+            k += 8
+            at = at[rest > 8]
+            if k > _LONG:
+                break
+    for i in at.tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    return h
+
+
+def word_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, Words]]:
+    """Each batch in runs of rows of about a megabyte of text, with the words of ``column`` (null: none)."""
+    for batch in batches:
+        if batch.num_rows:
+            yield from ((batch.slice(a, b - a), Words(data, offsets)) for a, b, data, offsets in _flat(batch.column(batch.schema.get_field_index(column))))
 
-    def __init__(self, limit: int = 400_000):
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+def words_of(texts: list[bytes | None]) -> Words:
+    data = [t or b"" for t in texts]
+    return Words(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
 
-    def trim(self) -> None:
-        if len(self) > self.limit:
-            self.clear()
+
+def _flat(col: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    col = pc.fill_null(col.cast(pa.large_binary() if wide else pa.binary()), b"")
+    _, at, data = col.buffers()
+    offsets = np.frombuffer(at, np.int64 if wide else np.int32)[col.offset : col.offset + len(col) + 1].astype(np.int64)
+    data = np.frombuffer(data or b"", np.uint8)
+    part = (offsets[1:] - offsets[0]) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(col)]
+    for a, b in zip(edges, edges[1:]):
+        yield a, b, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
 _HELD: dict[str, Callable[[], object]] = {}
@@ -104,9 +162,14 @@ def hold(name: str, forget: Callable[[], object] = lambda: None) -> None:
         _HELD.pop(n)()
     _HELD[name] = forget
     if others:
-        gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system."""
+    gc.collect()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 class Numbered(dict):
@@ -125,10 +188,6 @@ def numbers(keys: list, known: Numbered) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, keys), np.int64, len(keys))
 
 
-def word_hashes(words: list[bytes], known: WordHash) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (shifts and odd multipliers)."""
     with np.errstate(over="ignore"):

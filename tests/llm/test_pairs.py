@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from helpers import SF, documents, empty, hard
+from helpers import HARD, SF, documents, empty, hard
 from oracle import differences
 from pyspark.sql import functions as F
 
@@ -69,7 +69,7 @@ def near_copies(seed=2, groups=6, copies=25):
     return rows
 
 
-@pytest.mark.parametrize("settings", [jaccard.Settings(), jaccard.Settings(boundaries=(0,)), jaccard.Settings(boundaries=(64,)), jaccard.Settings(least_count=10**9, broadcast_ids=0)])
+@pytest.mark.parametrize("settings", [jaccard.Settings(), jaccard.Settings(boundaries=(0,)), jaccard.Settings(boundaries=(64,)), jaccard.Settings(least_count=10**9, broadcast_ids=0), jaccard.Settings(list_rows=3, text_pairs=2)])
 def test_join_equals_brute_force(spark, settings):
     rows = near_copies()
     s, links, want = brute(rows)
@@ -92,10 +92,12 @@ def test_join_on_documents_and_hard_rows(spark):
 
 
 def test_keep_first(spark):
-    docs = hard(spark).unionByName(hard(spark).where("doc_id = 1").withColumn("doc_id", F.lit(None).cast("long")))
+    """A copy without an id goes, one of several texts without an id and of several rows of an id stays, and a column named like a helper passes through."""
+    nameless = [(None, "the quick brown fox jumps over the lazy dog"), (None, "a text without an id"), (None, "a text without an id"), (6, dict(HARD)[6])]
+    docs = hard(spark).unionByName(hard(spark, nameless)).withColumn("key0", F.lit("x"))
     kept = jaccard.keep_first(docs)
     assert kept.columns == docs.columns[:1] + [c for c in docs.columns if c != "doc_id"]
-    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8]
+    assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8] and kept.where("doc_id is null").first().text == "a text without an id"
 
 
 def test_texts_that_share_an_id_are_compared_rightly(spark):

@@ -1,25 +1,25 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
-Word and word-pair counts of all training texts are summed in Spark (each task first sums its own) and quantised:
-a count c has level 1 + floor(log2 c), and an n-gram enters the filter once for each level up to its own.
-Probing levels upward until the first miss gives the quantised count back.  The filter is made of blocks by hash,
-each sized by what it holds and built where its counts are; blocks then go to the driver and out to all workers.
-The probability of a word after another is that of the pair, interpolated with the word's own by how well the
-context is known; all counts in it come from membership probes.
-
-Words' exact counts, for the base score, are a sorted array of hashes that is broadcast as well.  Both are measured
-first: while pair blocks exceed ``broadcast_bytes``, or words ``broadcast_words``, the hash space is cut into shards
-and the texts, numbered once in a written table, are passed over once a shard, each adding up the tokens whose counts that shard has;
-a row's sums meet by its number, so repeated and null ids stay rows of their own.  What every pass needs, the words' filter, has about two bytes a distinct word; beyond ``broadcast_bytes`` it is refused rather than broadcast.
-
-Edge cases: null and empty texts are the end token alone; a text is scored whole, in slices; equal texts get equal
-scores; without training texts every count is 0; an empty table gives no rows; only id, text and the training
-condition are read, so further columns don't matter.
+Each task counts its training texts' words and word pairs and deals the sorted counts, as binary runs, to blocks of the hash
+space; a block sums its runs and is built into a filter of its own size.  Counts are quantised: a count c has level
+1 + floor(log2 c), and an n-gram enters the filter once for each level up to its own.  Probing levels upward until the first
+miss gives the level back, so a count is known to lie from 2^(level-1) to 2^level - 1.
+
+The probability of a word after another is the pair's share of its context, interpolated with the word's own share by how well
+the context is known.  All counts in it come from membership probes; n-grams count with the least and contexts with the most that their level
+allows, so the probabilities after a context add up to one at most (but for false hits of the filter).  The base score uses exact word counts, kept by block as sorted hashes.
+
+Up to ``broadcast_bytes``, measured beforehand, all blocks go to every worker.  Beyond it the probes travel instead: texts are written in chunks, each chunk's
+distinct n-grams are dealt to the blocks, the blocks' answers go back to the chunk, and it is scored from them.  Each is one shuffle in proportion to the texts, at
+any size, with one block or one chunk in memory; both ways give the same rows.
+
+Edge cases: null and empty texts are the end token alone; a text is scored whole; equal texts get equal scores; repeated and null ids stay
+rows of their own; without training texts every count is 0; an empty table gives no rows; only id, text and the training condition are read, so further columns don't matter.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,62 +28,87 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHash, hold, mix, shared_dir, slices, word_hashes, written
+from .common import Words, give_back, hold, mix, shared_dir, word_slices, words_of, written
 
 SCHEMA = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+RUNS = "block int, words binary, word_counts binary, pairs binary, pair_counts binary"
+BLOCKS = "block int, total long, distinct long, size long, field binary, known binary, counts binary, many binary, many_counts binary"
+#: Of a block: the filter, its words' hashes and counts in a byte, and the words that occur OFTEN times or more with their counts.
+PARTS = {"field": np.uint8, "known": np.uint64, "counts": np.uint8, "many": np.uint64, "many_counts": np.int64}
+OFTEN = 255
+PROBES = "block int, chunk long, words binary, pairs binary"
+ANSWERS = "chunk long, block int, levels binary, exact binary, pair_levels binary"
 #: Hashes of the two tokens that no word can be: words hold no white space.
 START, END = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b" start", b" end"))
-BLOCK_BITS = 12
-_WORDS = WordHash()
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``bits`` and ``probes``: of the filter, for each level of each n-gram.  ``trust``: occurrences of a context at which its pairs weigh half."""
+    """``bits`` and ``probes``: of the filter, for each level of each n-gram.  ``trust``: occurrences of a context at which its pairs weigh half.
+    ``block_bytes``: training text a block of the hash space, of which there are 2^``least_blocks`` at least."""
 
     bits: int = 8
     probes: int = 4
     trust: float = 60.0
-    broadcast_bytes: int = 200 << 20
-    broadcast_words: int = 6_000_000
+    broadcast_bytes: int = 128 << 20
+    block_bytes: int = 128 << 20
+    least_blocks: int = 10
+
+
+def tokens_of(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts end to end: their tokens, the token before each, and where each text ends."""
+    ends = words.ends + np.arange(1, len(words.ends) + 1)
+    flat = np.empty(int(ends[-1]) if len(ends) else 0, np.uint64)
+    word = np.ones(len(flat), bool)
+    word[ends - 1] = False
+    flat[word], flat[~word] = words.hashes, END
+    before = np.concatenate([[START], flat[:-1]])[: len(flat)]
+    before[ends[:-1]] = START
+    return flat, before, ends
 
 
-def pair_hashes(tokens: np.ndarray) -> np.ndarray:
-    """Of each token of a text, the hash of it and the one before."""
-    before = np.concatenate([[START], tokens[:-1]])
+def pair_hashes(before: np.ndarray, tokens: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         return mix(mix(before) + tokens)
 
 
-def tokens_of(text: bytes | None) -> np.ndarray:
-    return np.concatenate([word_hashes((text or b"").lower().split(), _WORDS), np.array([END])])
+def cuts(h: np.ndarray, block_bits: int) -> np.ndarray:
+    """Where each block of the hash space begins and the last ends in sorted hashes."""
+    return np.concatenate([np.searchsorted(h, np.arange(1 << block_bits, dtype=np.uint64) << np.uint64(64 - block_bits)), [len(h)]])
 
 
-def block_of(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(64 - BLOCK_BITS)).astype(np.int32)
+def by_block(columns: list[list[bytes]], schema: str, **more: int) -> pa.RecordBatch:
+    """A row for each block that has any bytes."""
+    some = np.flatnonzero(np.any([[len(x) > 0 for x in c] for c in columns], axis=0))
+    arrays = [pa.array(some.astype(np.int32)), *[pa.array(np.full(len(some), v)) for v in more.values()], *[pa.array([c[i] for i in some], pa.binary()) for c in columns]]
+    return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in schema.split(", ")])
 
 
-def count_batches(batches: Iterator[pa.RecordBatch], pairs: bool, flush: int = 4_000_000) -> Iterator[pa.RecordBatch]:
-    """(block, hash, n): this task's counts of words or of word pairs."""
-    hold("bloomlm", _WORDS.clear)
-    held: list[np.ndarray] = []
+def count_batches(batches: Iterator[pa.RecordBatch], block_bits: int, flush: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows of RUNS: this task's counts of words and of word pairs, by block and sorted."""
+    hold("bloomlm")
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def counted() -> pa.RecordBatch:
-        h, n = np.unique(np.concatenate(held) if held else np.empty(0, np.uint64), return_counts=True)
+        columns = []
+        for part in zip(*held):
+            h, n = np.unique(np.concatenate(part), return_counts=True)
+            at = cuts(h, block_bits).tolist()
+            n = n.astype(np.uint32)
+            columns += [[x[a:b].tobytes() for a, b in zip(at, at[1:])] for x in (h, n)]
         held.clear()
-        return pa.RecordBatch.from_arrays([pa.array(block_of(h)), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["block", "hash", "n"])
+        return by_block(columns, RUNS)
 
     size = 0
-    for _, texts in slices(batches):
-        _WORDS.trim()
-        for t in texts:
-            tokens = tokens_of(t)
-            held.append(pair_hashes(tokens) if pairs else np.concatenate([[START], tokens]))
-            size += len(tokens)
+    for _, words in word_slices(batches):
+        tokens, before, ends = tokens_of(words)
+        held.append((np.concatenate([np.full(len(ends), START), tokens]), pair_hashes(before, tokens)))
+        size += len(tokens)
         if size > flush:
             yield counted()
             size = 0
-    yield counted()
+    if held:
+        yield counted()
 
 
 def levels_of(n: np.ndarray) -> np.ndarray:
@@ -95,52 +120,71 @@ def spots(h: np.ndarray, level, probe: int) -> np.ndarray:
         return mix(h + np.uint64(0x9E3779B97F4A7C15) * (np.asarray(level, np.uint64) * np.uint64(64) + np.uint64(probe + 1)))
 
 
+def summed(runs: list[tuple[bytes, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(b"".join(x for x, _ in runs), np.uint64)
+    n = np.frombuffer(b"".join(x for _, x in runs), np.uint32)
+    order = np.argsort(h, kind="stable")
+    h, n = h[order], n[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+    return h[first], np.add.reduceat(n, first) if len(first) else n
+
+
 def build_batches(batches: Iterator[pa.RecordBatch], bits: int, probes: int) -> Iterator[pa.RecordBatch]:
-    """(block, size in bits, bits) of each block, from a partition that has all counts of its blocks, in block order."""
+    """Rows of BLOCKS, from a partition that has all runs of its blocks, in block order."""
 
-    def built(block: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        levels = levels_of(n)
-        at = np.repeat(np.arange(len(h)), levels)
+    def built(block: int, words: list, pairs: list) -> pa.RecordBatch:
+        (h, n), (g, m) = summed(words), summed(pairs)
+        all_h, levels = np.concatenate([h, g]), np.concatenate([levels_of(n), levels_of(m)])
+        at = np.repeat(np.arange(len(all_h)), levels)
         level = np.arange(len(at)) - np.repeat(np.cumsum(levels) - levels, levels) + 1
         size = -(-len(at) * bits // 64) * 64
         field = np.zeros(size, bool)
         for j in range(probes):
-            field[(spots(h[at], level, j) % np.uint64(size)).astype(np.int64)] = True
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([size], pa.int64()), pa.array([np.packbits(field).tobytes()], pa.binary())], names=["block", "size", "field"])
-
-    now, hs, ns = None, [], []
+            field[(spots(all_h[at], level, j) % np.uint64(max(size, 1))).astype(np.int64)] = True
+        real = h != START
+        h, n = h[real], n[real]
+        parts = np.packbits(field), h, np.minimum(n, OFTEN).astype(np.uint8), h[n >= OFTEN], n[n >= OFTEN]
+        row = [block, int(n.sum()), len(h), size, *[x.tobytes() for x in parts]]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * len(parts)]
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(row, types)], names=[x.split()[0] for x in BLOCKS.split(", ")])
+
+    now, words, pairs = None, [], []
     for batch in batches:
-        block = batch.column(0).to_numpy()
-        h, n = batch.column(1).to_numpy().view(np.uint64), batch.column(2).to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)] if len(block) else [0]
-        for a, b in zip(edges, edges[1:]):
-            if now is not None and block[a] != now:
-                yield built(now, np.concatenate(hs), np.concatenate(ns))
-                hs, ns = [], []
-            now = int(block[a])
-            hs.append(h[a:b]), ns.append(n[a:b])
+        for block, *run in zip(*(c.to_pylist() for c in batch.columns)):
+            if now is not None and block != now:
+                yield built(now, words, pairs)
+                words, pairs = [], []
+            now = block
+            words.append(run[:2]), pairs.append(run[2:])
     if now is not None:
-        yield built(now, np.concatenate(hs), np.concatenate(ns))
+        yield built(now, words, pairs)
 
 
-class Filter:
-    """Blocks laid end to end; ``count`` gives the quantised counts of hashes."""
+def looked_up(known: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(h), np.int64)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    return np.where(known[at] == h, values[at], 0).astype(np.int64)
 
-    def __init__(self, rows, probes: int):
-        self.probes = probes
-        self.size, self.start = np.zeros(1 << BLOCK_BITS, np.uint64), np.zeros(1 << BLOCK_BITS, np.int64)
-        parts, at = [], 0
-        for block, size, field in rows:
+
+class Filter:
+    """Blocks of the hash space laid end to end: levels by membership probes, and exact counts of words."""
+
+    def __init__(self, blocks: list[tuple[int, int, dict]], block_bits: int, probes: int):
+        """``blocks``: number, size in bits, and PARTS as bytes or buffers."""
+        self.block_bits, self.probes = block_bits, probes
+        self.size, self.start = np.zeros(1 << block_bits, np.uint64), np.zeros(1 << block_bits, np.int64)
+        blocks, at = sorted(blocks, key=lambda b: b[0]), 0
+        for block, size, _ in blocks:
             self.size[block], self.start[block] = size, at
-            parts.append(np.frombuffer(field, np.uint8))
             at += size
-        self.field = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+        for name, kind in PARTS.items():
+            setattr(self, name, np.concatenate([np.empty(0, kind), *[np.frombuffer(b[2][name], kind) for b in blocks]]))
 
-    def count(self, h: np.ndarray) -> np.ndarray:
-        """The middle of the counts of each hash's highest level; 0 for none."""
-        block = block_of(h)
+    def level(self, h: np.ndarray) -> np.ndarray:
+        block = (h >> np.uint64(64 - self.block_bits)).astype(np.int64)
         size, start = self.size[block], self.start[block]
-        level = np.zeros(len(h), np.int64)
+        level = np.zeros(len(h), np.uint8)
         alive = np.flatnonzero(size > 0)
         k = 0
         while len(alive):
@@ -149,85 +193,130 @@ class Filter:
                 at = start[alive] + (spots(h[alive], k, j) % size[alive]).astype(np.int64)
                 alive = alive[(self.field[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1) > 0]
             level[alive] = k
-        return np.where(level > 0, (2.0 ** (level - 1) + 2.0**level - 1) / 2, 0.0)
+        return level
 
+    def exact(self, h: np.ndarray) -> np.ndarray:
+        found = looked_up(self.known, self.counts, h)
+        often = np.flatnonzero(found == OFTEN)
+        found[often] = looked_up(self.many, self.many_counts, h[often])
+        return found
 
-@dataclass
-class Shard:
-    """What one pass over the texts needs: tokens whose hashes fall to ``part`` of ``parts`` are scored by it."""
+    def answer(self, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Levels and exact counts of words, levels of pairs."""
+        return self.level(h), self.exact(h), self.level(g)
 
-    part: int
-    parts: int
-    settings: Settings
-    total: int  # training tokens
+
+@dataclass(frozen=True)
+class Corpus:
+    """``total`` and ``distinct``: tokens of the training texts."""
+
+    total: int
     distinct: int
-    words: Filter
-    pairs: Filter
-    known: np.ndarray
-    counts: np.ndarray
-
-    def mine(self, h: np.ndarray) -> np.ndarray:
-        return block_of(h).astype(np.int64) * self.parts >> BLOCK_BITS == self.part
-
-    def score(self, texts: list[bytes | None]) -> Iterator[tuple[int, int, float, float]]:
-        """Of each text: tokens, known tokens, base and model log10 probabilities, as far as this shard's tokens go."""
-        tokens = [tokens_of(t) for t in texts]
-        ends = np.cumsum([len(t) for t in tokens])
-        flat = np.concatenate(tokens)
-        pairs = np.concatenate([pair_hashes(t) for t in tokens])
-        before = np.concatenate([np.concatenate([[START], t[:-1]]) for t in tokens])
-        h, back = np.unique(flat, return_inverse=True)
-        exact = np.zeros(len(h))
-        if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-            exact = np.where(self.known[at] == h, self.counts[at], 0)
-        room = self.total + self.distinct + 1
-        own = self.mine(h)
-        base = np.where(own, np.log10((exact + 1) / room), 0)[back]
-        seen = (own & (exact > 0))[back]
-        single = self.words.count(h)
-        starts = self.words.count(np.array([START]))[0]
-        context = np.concatenate([[starts], single])[np.where(before == START, 0, 1 + np.searchsorted(h, before))]
-        g, back_g = np.unique(pairs, return_inverse=True)
-        here = self.mine(g)
-        double = np.zeros(len(g))
-        double[here] = self.pairs.count(g[here])
-        word = ((single + 1) / room)[back]
-        weight = context / (context + self.settings.trust)
-        share = np.divide(np.minimum(double[back_g], context), context, out=np.zeros(len(word)), where=context > 0)
-        model = np.where(here[back_g], np.log10(weight * share + (1 - weight) * word), 0)
-        begins = ends - [len(t) for t in tokens]
-        sums = [np.add.reduceat(x, begins) for x in (seen.astype(np.int64), base, model)]  # a text's own sum, wherever it stands in the slice
-        for t, known, b, m in zip(tokens, *sums):
-            yield len(t), int(known), float(b), float(m)
-
-
-def score_batches(batches: Iterator[pa.RecordBatch], shard: Shard) -> Iterator[pa.RecordBatch]:
-    hold("bloomlm", _WORDS.clear)
-    for batch, texts in slices(batches):
-        _WORDS.trim()
-        n, known, base, score = zip(*shard.score(texts))
-        i64, f64 = pa.int64(), pa.float64()
-        columns = [batch.column(0), pa.array(n, i64), pa.array(known, i64), pa.array([shard.total] * len(n), i64), pa.array(base, f64), pa.array(score, f64)]
-        names = [x.split()[0] for x in SCHEMA.split(", ")]
-        if shard.parts > 1:
-            columns, names = [*columns, batch.column(batch.schema.get_field_index("row")), pa.array([shard.part] * len(n), pa.int32())], [*names, "row", "part"]
-        yield pa.RecordBatch.from_arrays(columns, names=names)
-
-
-def fitted(docs: DataFrame, training: Column, s: Settings, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables in the shared folder: word counts, and the filters' blocks of words and of pairs."""
-    bits, probes = s.bits, s.probes
-    rows = docs.where(training).select(F.col(text_col).alias("text"))
+    settings: Settings
 
-    def counts(pairs: bool) -> DataFrame:
-        return rows.mapInArrow(lambda b: count_batches(b, pairs), "block int, hash long, n long").repartition("block").groupBy("block", "hash").agg(F.sum("n").alias("n"))
 
-    def blocks(of: DataFrame) -> DataFrame:
-        return of.select("block", "hash", "n").sortWithinPartitions("block").mapInArrow(lambda b: build_batches(b, bits, probes), "block int, size long, field binary")
+def distinct_grams(words: Words):
+    """Tokens and what score needs of them: sorted distinct words (with the start) and pairs, where each token's are, and where texts end."""
+    tokens, before, ends = tokens_of(words)
+    h, back = np.unique(np.concatenate([[START], tokens]), return_inverse=True)
+    g, pair = np.unique(pair_hashes(before, tokens), return_inverse=True)
+    context = np.concatenate([[back[0]], back[1:-1]])[: len(tokens)]
+    context[ends[:-1]] = back[0]
+    return h, g, back[1:], context, pair, ends
 
-    words = written(counts(False), "words")
-    return words, written(blocks(words.repartition("block")), "word-blocks"), written(blocks(counts(True)), "pair-blocks")
+
+def score_texts(words: Words, corpus: Corpus, answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
+    """Of each text: tokens, known tokens, base and model log10 probabilities."""
+    h, g, word, context, pair, ends = distinct_grams(words)
+    level, exact, pair_level = answer(h, g)
+    room = corpus.total + corpus.distinct + 1
+    least, most = np.where(level > 0, 2.0 ** (level - 1.0), 0), 2.0**level - 1
+    own, weight = (least + 1) / room, most / (most + corpus.settings.trust)
+    share = np.where(pair_level > 0, 2.0 ** (pair_level - 1.0), 0)[pair] / np.maximum(most[context], 1)
+    model = np.log10(weight[context] * np.minimum(share, 1) + (1 - weight[context]) * own[word])
+    sums = [exact > 0, np.log10((exact + 1) / room)]
+    begins = np.concatenate([[0], ends[:-1]])[: len(ends)]
+    # a text's own sums, wherever it stands in the slice
+    return [ends - begins, *[np.add.reduceat(x, begins) if len(begins) else x for x in (sums[0][word].astype(np.int64), sums[1][word], model)]]
+
+
+def scored_batch(ids: pa.Array, sums: list[np.ndarray], total: int) -> pa.RecordBatch:
+    n, known, base, score = sums
+    columns = [ids, pa.array(n), pa.array(known), pa.array(np.full(len(n), total)), pa.array(base), pa.array(score)]
+    return pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in SCHEMA.split(", ")])
+
+
+def score_batches(batches: Iterator[pa.RecordBatch], model: tuple[Corpus, Filter]) -> Iterator[pa.RecordBatch]:
+    hold("bloomlm")
+    corpus, grams = model
+    for batch, words in word_slices(batches):
+        yield scored_batch(batch.column(0), score_texts(words, corpus, grams.answer), corpus.total)
+
+
+def chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for about a megabyte of texts: their ids and themselves."""
+    for batch, _ in word_slices(batches):
+        texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([batch.column(0).to_pylist()], pa.list_(pa.int64())), pa.array([texts.to_pylist()], pa.list_(pa.binary()))], names=["ids", "texts"])
+
+
+def probe_batches(batches: Iterator[pa.RecordBatch], block_bits: int) -> Iterator[pa.RecordBatch]:
+    """(block, chunk, words, pairs): the distinct n-grams of each chunk, by block."""
+    for batch in batches:
+        for chunk, texts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            h, g, *_ = distinct_grams(words_of(texts))
+            runs = [[x[a:b].tobytes() for a, b in zip(at, at[1:])] for x in (h, g) for at in [cuts(x, block_bits).tolist()]]
+            yield by_block(runs, PROBES, chunk=chunk)
+
+
+def answer_batches(batches: Iterator[pa.RecordBatch], block_bits: int, probes: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ANSWERS, from a partition in order of block with the block itself before its probes."""
+    hold("bloomlm")
+    block, grams = None, None
+    for batch in batches:
+        out = []
+        for r in batch.to_pylist():
+            if r["chunk"] < 0:
+                block, grams = r["block"], Filter([(r["block"], r["size"], r)], block_bits, probes)
+                continue
+            if block != r["block"]:
+                block, grams = r["block"], Filter([], block_bits, probes)
+            level, exact, pair_level = grams.answer(np.frombuffer(r["words"], np.uint64), np.frombuffer(r["pairs"], np.uint64))
+            out.append((r["chunk"], r["block"], level.tobytes(), exact.tobytes(), pair_level.tobytes()))
+        if out:
+            types = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[x.split()[0] for x in ANSWERS.split(", ")])
+
+
+def answered_batches(batches: Iterator[pa.RecordBatch], corpus: Corpus) -> Iterator[pa.RecordBatch]:
+    """Scores, from a partition in order of chunk with the chunk's texts before its blocks' answers in order."""
+    hold("bloomlm")
+    texts, answers = None, []
+
+    def scored() -> pa.RecordBatch:
+        got = [np.frombuffer(b"".join(a[k] for a in answers), t) for k, t in (("levels", np.uint8), ("exact", np.int64), ("pair_levels", np.uint8))]
+        return scored_batch(pa.array(texts["ids"], pa.int64()), score_texts(words_of(texts["texts"]), corpus, lambda h, g: got), corpus.total)
+
+    for batch in batches:
+        for r in batch.to_pylist():
+            if r["block"] < 0:
+                if texts is not None:
+                    yield scored()
+                texts, answers = r, []
+            else:
+                answers.append(r)
+    if texts is not None:
+        yield scored()
+
+
+def fitted(docs: DataFrame, training: Column, s: Settings, text_col: str) -> tuple[DataFrame, int]:
+    """A table in the shared folder with rows of BLOCKS, and how many bits of a hash say its block."""
+    rows = docs.where(training).select(F.col(text_col).alias("text"))
+    text_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    block_bits = max(s.least_blocks, int(text_bytes // s.block_bytes).bit_length())
+    bits, probes = s.bits, s.probes
+    runs = rows.mapInArrow(lambda b: count_batches(b, block_bits), RUNS)
+    return written(runs.repartition("block").sortWithinPartitions("block").mapInArrow(lambda b: build_batches(b, bits, probes), BLOCKS), "blocks"), block_bits
 
 
 def score(docs: DataFrame, training: Column, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -235,33 +324,22 @@ def score(docs: DataFrame, training: Column, settings: Settings = Settings(), id
     s = settings
     spark = docs.sparkSession
     shared_dir(spark)
-    words, word_blocks, pair_blocks = fitted(docs, training, s, text_col)
-    counted = words.where(F.col("hash") != int(START.view(np.int64)))
-    total, distinct = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    sizes = [int(b.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]) // 8 for b in (word_blocks, pair_blocks)]
-    if sizes[0] > s.broadcast_bytes:
-        raise ValueError(f"the words' filter has {sizes[0]} bytes; broadcast_bytes allows {s.broadcast_bytes}")
-    parts = max(1, -(-sizes[1] // s.broadcast_bytes), -(-distinct // s.broadcast_words))
-    word_filter = Filter(word_blocks.toArrow().to_pandas().itertuples(index=False), s.probes)
+    blocks, block_bits = fitted(docs, training, s, text_col)
+    size = sum((F.octet_length(c) for c in PARTS), F.lit(0))
+    total, distinct, size = (int(x or 0) for x in blocks.agg(F.sum("total"), F.sum("distinct"), F.sum(size)).first())
+    corpus, probes = Corpus(total, distinct, s), s.probes
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = SCHEMA
-    if parts > 1:
-        rows, schema = written(rows.withColumn("row", F.monotonically_increasing_id()), "numbered-texts"), f"{SCHEMA}, row long, part int"
-    scored = None
-    for part in range(parts):
-        here = F.shiftright(F.col("block").cast("long") * parts, BLOCK_BITS) == part
-        pair_filter = Filter(pair_blocks.where(here).toArrow().to_pandas().itertuples(index=False), s.probes)
-        table = counted.where(here).select("hash", "n").toArrow()
-        known, n = table.column("hash").to_numpy().view(np.uint64), table.column("n").to_numpy()
-        order = np.argsort(known)
-        shard = spark.sparkContext.broadcast(Shard(part, parts, s, int(total), int(distinct), word_filter, pair_filter, known[order], n[order]))
-        got = rows.mapInArrow(lambda b, shard=shard: score_batches(b, shard.value), schema)
-        scored = got if scored is None else scored.unionByName(got)
-    if parts > 1:
-
-        def summed(c: str) -> Column:  # in the order of the shards, so that equal texts get equal sums
-            return F.aggregate(F.array_sort(F.collect_list(F.struct("part", c))), F.lit(0.0), lambda a, x: a + x[c]).alias(c)
-
-        firsts = [F.first(c).alias(c) for c in ("doc_id", "n_tokens", "train_tokens")]
-        scored = scored.groupBy("row").agg(*firsts, F.sum("n_known").alias("n_known"), summed("base_score"), summed("score")).select(*[x.split()[0] for x in SCHEMA.split(", ")])
-    return scored
+    if size <= s.broadcast_bytes:
+        got = blocks.select("block", "size", *PARTS).toArrow().combine_chunks().to_batches()
+        found = [(b.column(0)[i].as_py(), b.column(1)[i].as_py(), {c: b.column(c)[i].as_buffer() for c in PARTS}) for b in got for i in range(b.num_rows)]
+        grams = Filter(found, block_bits, probes)
+        del got, found
+        model = spark.sparkContext.broadcast((corpus, grams))
+        give_back()
+        return rows.mapInArrow(lambda b: score_batches(b, model.value), SCHEMA)
+    chunks = written(rows.mapInArrow(chunk_batches, "ids array<long>, texts array<binary>").withColumn("chunk", F.monotonically_increasing_id()), "chunks")
+    asked = chunks.select("chunk", "texts").mapInArrow(lambda b: probe_batches(b, block_bits), PROBES)
+    both = asked.unionByName(blocks.select("block", F.lit(-1).cast("long").alias("chunk"), "size", *PARTS), allowMissingColumns=True)
+    answers = both.repartition("block").sortWithinPartitions("block", "chunk").mapInArrow(lambda b: answer_batches(b, block_bits, probes), ANSWERS)
+    back = answers.unionByName(chunks.withColumn("block", F.lit(-1)), allowMissingColumns=True)
+    return back.repartition("chunk").sortWithinPartitions("chunk", "block").mapInArrow(lambda b: answered_batches(b, corpus), SCHEMA)

@@ -174,8 +174,33 @@ def brute_base(rows, training):
     return {i: (len(w), sum(c[x] > 0 for x in w), n, sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w)) for i, w in words.items()}
 
 
-@pytest.mark.parametrize("settings", [bloomlm.Settings(), bloomlm.Settings(broadcast_words=700, broadcast_bytes=60_000)])
-def test_base_score_is_exact_with_one_shard_or_several(spark, settings):
+ROUTED = bloomlm.Settings(broadcast_bytes=0)
+
+
+def brute_score(rows, trained, trust=60.0):
+    """By dictionaries of words: log10 probability with counts known to a power of two."""
+    def tokens(text):
+        w = (text or "").encode().lower().split()
+        return [("s",), *w, ("e",)]
+
+    words, pairs = Counter(), Counter()
+    for i, t in rows:
+        if trained(i):
+            w = tokens(t)
+            words.update(w), pairs.update(zip(w, w[1:]))
+    room = sum(n for w, n in words.items() if w != ("s",)) + len(words) - (("s",) in words) + 1
+    level = lambda n: n.bit_length()
+    least, most = (lambda n: 2 ** (level(n) - 1) if n else 0), (lambda n: 2 ** level(n) - 1)
+
+    def p(a, b):
+        weight = most(words[a]) / (most(words[a]) + trust)
+        return weight * least(pairs[a, b]) / max(1, most(words[a])) + (1 - weight) * (least(words[b]) + 1) / room
+
+    return {(i, t): sum(math.log10(p(a, b)) for a, b in zip(tokens(t), tokens(t)[1:])) for i, t in rows}, p, words
+
+
+@pytest.mark.parametrize("settings", [bloomlm.Settings(), ROUTED])
+def test_base_score_is_exact_by_broadcast_or_routed(spark, settings):
     docs = hard(spark).unionByName(hard(spark, [(r.doc_id + 100, r.text) for r in documents(spark).limit(40).collect()]))
     got = {r.doc_id: r for r in bloomlm.score(docs, F.col("doc_id") % 3 != 0, settings).collect()}
     want = brute_base(docs.collect(), lambda i: i % 3)
@@ -185,36 +210,42 @@ def test_base_score_is_exact_with_one_shard_or_several(spark, settings):
     assert got[2].score == got[3].score and got[1].score == got[5].score
 
 
-def test_shards_agree_on_the_score(spark):
-    docs = documents(spark)
-    one = {r.doc_id: r.score for r in bloomlm.score(docs, F.lit(True)).collect()}
-    many = {r.doc_id: r.score for r in bloomlm.score(docs, F.lit(True), bloomlm.Settings(broadcast_words=3000)).collect()}
-    assert one.keys() == many.keys() and all(one[i] == pytest.approx(many[i]) for i in one)
-    with pytest.raises(ValueError):
-        bloomlm.score(docs, F.lit(True), bloomlm.Settings(broadcast_bytes=10))
+@pytest.mark.parametrize("settings", [bloomlm.Settings(bits=64, probes=8), bloomlm.Settings(bits=64, probes=8, broadcast_bytes=0)])
+def test_score_equals_brute_force(spark, settings):
+    rows = [(r.doc_id, r.text) for r in hard(spark).unionByName(hard(spark, [(r.doc_id + 100, r.text) for r in documents(spark).limit(60).collect()])).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want, p, words = brute_score(rows, lambda i: i % 3)
+    texts = dict(rows)
+    for r in bloomlm.score(docs, F.col("doc_id") % 3 != 0, settings).collect():
+        assert r.score == pytest.approx(want[r.doc_id, texts[r.doc_id]], rel=1e-9)
+    for context in list(words)[:20]:
+        if context != ("e",):
+            assert 0 < sum(p(context, w) for w in words if w != ("s",)) <= 1
 
 
-def test_rows_of_one_id_or_none_stay_apart_in_shards(spark):
-    texts = [r.text for r in documents(spark).limit(12).collect()]
+def test_both_ways_give_the_same_rows(spark):
+    """Repeated and null ids too."""
+    texts = [r.text for r in documents(spark).limit(80).collect()]
     docs = hard(spark, [(5, texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[2]), (None, texts[3]), (None, None), *enumerate(texts, 100)])
-    one, many = (sorted((r.doc_id or -1, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in bloomlm.score(docs, F.lit(True), s).collect()) for s in (bloomlm.Settings(), bloomlm.Settings(broadcast_words=300)))
-    assert len(one) == len(many) == 18 and [x[:3] for x in one] == [x[:3] for x in many]
-    assert all(x[3:] == pytest.approx(y[3:]) for x, y in zip(one, many))
+    one, many = (sorted((r.doc_id or -1, r.n_tokens, r.n_known, r.base_score, r.score) for r in bloomlm.score(docs, F.lit(True), s).collect()) for s in (bloomlm.Settings(), ROUTED))
+    assert len(one) == 86 and one == many
+    assert bloomlm.score(empty(spark), F.lit(True), ROUTED).count() == 0
+    assert {r.n_known for r in bloomlm.score(docs, F.lit(False), ROUTED).collect()} == {0}
 
 
-def test_filter_gives_quantised_counts_back():
+def test_filter_gives_levels_back():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**63, 20_000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-    n = rng.integers(1, 200, len(h))
-    order = np.argsort(bloomlm.block_of(h), kind="stable")
-    import pyarrow as pa
-
-    batch = pa.RecordBatch.from_arrays([pa.array(bloomlm.block_of(h)[order]), pa.array(h[order].view(np.int64)), pa.array(n[order])], names=["block", "hash", "n"])
-    f = bloomlm.Filter([r for b in bloomlm.build_batches(iter([batch]), 8, 4) for r in b.to_pandas().itertuples(index=False)], 4)
-    got, level = f.count(h), bloomlm.levels_of(n)
-    exact = (2.0 ** (level - 1) + 2.0**level - 1) / 2
-    assert (got >= exact).all() and (got == exact).mean() > 0.9
-    assert (f.count(rng.integers(0, 2**62, 20_000).astype(np.uint64)) == 0).mean() > 0.9
+    n = rng.integers(1, 400, len(h)).astype(np.uint32)
+    at = bloomlm.cuts(h, 6)
+    runs = [[x[a:b].tobytes() for a, b in zip(at, at[1:])] for x in (h, n)]
+    nothing = [b""] * 64
+    batch = bloomlm.by_block([*runs, nothing, nothing], bloomlm.RUNS)
+    built = [r for b in bloomlm.build_batches(iter([batch]), 8, 4) for r in b.to_pylist()]
+    f = bloomlm.Filter([(r["block"], r["size"], r) for r in built], 6, 4)
+    got, level = f.level(h), bloomlm.levels_of(n)
+    assert (got >= level).all() and (got == level).mean() > 0.9 and (f.exact(h) == n).all()
+    assert (f.level(rng.integers(0, 2**62, 20_000).astype(np.uint64)) == 0).mean() > 0.9
 
 
 def test_model_beats_the_base_on_held_out_texts(spark):

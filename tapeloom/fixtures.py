@@ -76,9 +76,24 @@ def oracle(body: str, recursive: bool = False, prelude: str = "") -> str:
     return re.sub(r"\{(\w+)\}", r"\1", text)
 
 
+#: Folders with derived tables written by ``store``, by folder of the input tables.
+STORED: dict[str, str] = {}
+
+
+def store(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Write all derived tables once, bars and what goes with them sorted by symbol and time, so that ``load`` reads them."""
+    for name in FX:
+        df = load(spark, sf_dir, name)
+        by = [c for c in ("symbol", "time") if c in df.columns]
+        (df.repartitionByRange(*by).sortWithinPartitions(*by) if len(by) == 2 else df).write.parquet(f"{path}/{name}")
+    STORED[sf_dir] = path
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table, or an input table by its name."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if sf_dir in STORED:
+        return spark.read.parquet(f"{STORED[sf_dir]}/{name}")
     text = "WITH " + ", ".join(f"{n} AS ({FX[n]})" for n in needed(name)) + f" SELECT * FROM {name}"
     return spark.sql(re.sub(r"\{(\w+)\}", lambda m: f"parquet.`{sf_dir}/{m[1]}.parquet`", text))

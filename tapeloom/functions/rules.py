@@ -87,6 +87,7 @@ def peg_level(value: Column) -> Column:
 
 
 def announcement_date(*candidates: Column) -> Column:
+    """The first that is known."""
     return F.coalesce(*candidates)
 
 

@@ -25,6 +25,11 @@ class Indicator(ABC):
 
     needs: Sequence[str] = ("symbol", "time", "close")
 
+    @property
+    def warmup(self) -> int:
+        """Bars before the first value."""
+        return 1
+
     @property
     @abstractmethod
     def name(self) -> str: ...
@@ -51,6 +56,7 @@ class MA(Indicator):
         self.period, self.mode = period, mode
 
     name = property(lambda self: f"ma_{self.period}")
+    warmup = property(lambda self: self.period)
     columns = property(lambda self: [self.name])
 
     def calculate(self, bars: DataFrame) -> DataFrame:
@@ -66,6 +72,7 @@ class EMA(Indicator):
         self.period, self.seed = period, seed
 
     name = property(lambda self: f"ema_{self.period}")
+    warmup = property(lambda self: self.period)
     columns = property(lambda self: [self.name])
 
     def calculate(self, bars: DataFrame) -> DataFrame:
@@ -79,6 +86,7 @@ class MACD(Indicator):
         self.fast, self.slow, self.signal, self.seed = fast, slow, signal, seed
 
     name = property(lambda self: "macd")
+    warmup = property(lambda self: self.slow + self.signal)
     columns = property(lambda self: ["macd", "macd_signal", "macd_hist"])
 
     def calculate(self, bars: DataFrame) -> DataFrame:
@@ -96,6 +104,7 @@ class RSI(Indicator):
         self.period, self.mode = period, mode
 
     name = property(lambda self: f"rsi_{self.period}")
+    warmup = property(lambda self: self.period)
     columns = property(lambda self: [self.name])
 
     def calculate(self, bars: DataFrame) -> DataFrame:
@@ -145,6 +154,7 @@ class ATR(Indicator):
         self.period, self.mode = period, mode
 
     name = property(lambda self: f"atr_{self.period}")
+    warmup = property(lambda self: self.period)
     columns = property(lambda self: [self.name])
 
     def calculate(self, bars: DataFrame) -> DataFrame:
@@ -163,6 +173,7 @@ class NDA(Indicator):
         self.window, self.share = window, share
 
     name = property(lambda self: "nda")
+    warmup = property(lambda self: self.window)
     columns = property(lambda self: ["nda_value", "volume_confirmed"])
 
     def calculate(self, bars: DataFrame) -> DataFrame:

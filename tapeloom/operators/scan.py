@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Weight of a block too far back to change a double.
+NOTHING = 1e-22
+
+
 def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "symbol", order: str = "time", seed: str = "first", span: int = 1, block: int = 1024) -> DataFrame:
     """Adds ``out`` with y(t) = (1 - alpha) * y(t-1) + alpha * x(t) for each key.
 
@@ -16,9 +20,9 @@ def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "s
     before it are null.  Null values are left out of the recurrence and carry the last y.
 
     Non-null rows are numbered and cut into blocks.  Within a block, y is a prefix sum of inputs weighted by powers of 1 - alpha,
-    and blocks are short enough for these not to overflow; the carry into a block is a fold over the ends of the key's earlier
-    blocks, of which a row sees one for every ``block`` rows before it.  All windows are by key, so one shuffle serves
-    every scan of a chain, and no row is joined.
+    and blocks are short enough for these not to overflow.  The carry into a block is y at the end of the block before: a sum over the
+    ends of earlier blocks, taken by doubling (the last one, two, four blocks) until what is further back weighs less than ``NOTHING``.
+    All windows are by key, so one shuffle serves every scan of a chain; no row is joined and no array is built.
     """
     d = 1.0 - alpha
     block = max(1, min(block, int(600 / -log(d)))) if 0 < d < 1 else 1
@@ -35,11 +39,15 @@ def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "s
     power = lambda e: F.pow(F.lit(d), e)
     total = F.sum(F.col("__a") * power(-F.col("__i"))).over(within.orderBy("__k").rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("__s", total * power(F.col("__i")) if block > 1 else F.col("__a"))
-    last = F.col("__a").isNotNull() & (F.col("__k") == F.max("__k").over(within))
-    rows = rows.withColumn("__end", F.when(last, F.struct(F.col("__s").alias("s"), F.col("__i").alias("i"))))
-    carry = F.aggregate(F.collect_list("__end").over(before), F.lit(0.0), lambda y, e: e["s"] + y * power(e["i"] + 1))
+    in_order = by_key.orderBy("__b", "__k")  # null values, and rows before the seed, come first
+    rows = rows.withColumn("__y", F.when(F.col("__a").isNotNull() & (F.col("__i") == block - 1), F.col("__s")))
+    step = block
+    while d > 0 and d**step > NOTHING and step < 1 << 30:
+        rows = rows.withColumn("__y", F.col("__y") + F.coalesce(F.lag("__y", step).over(in_order), F.lit(0.0)) * d**step)
+        step *= 2
+    carry = F.coalesce(F.last("__y", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rows = rows.withColumn(out, F.when(F.col("__a").isNotNull(), F.col("__s") + carry * power(F.col("__i") + 1)))
-    return rows.withColumn(out, F.last(out, ignorenulls=True).over(sofar)).drop("__k", "__a", "__b", "__i", "__s", "__end")
+    return rows.withColumn(out, F.last(out, ignorenulls=True).over(sofar)).drop("__k", "__a", "__b", "__i", "__s", "__y")
 
 
 def keep_columns(df: DataFrame, like: DataFrame, extra: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rules import exempted, nullable_flag, safe_ratio
+from ..functions.rules import announcement_date, exempted, nullable_flag, safe_ratio
 from .joins import merge_statements
 
 KEY, TIME = "ts_code", "end_date"
@@ -96,9 +96,16 @@ def fscore(indicator: DataFrame, balance: DataFrame | None = None, cashflow: Dat
     """Nine flags, their sum, and further metrics, by company and report period.
 
     ``exemptions`` (ts_code, exemptions) overrides the ``default`` list of exempted rules; an exempted rule scores full.  Columns that are
-    absent, and companies for which a column is null throughout, take the fallbacks of the flag.
+    absent, and companies for which a column is null throughout, take the fallbacks of the flag.  ``f_ann_date``, from when on a score is known, is
+    that of the cash flow, income or balance sheet, the indicator's own, or its ann_date, the first that is known.
     """
-    df = merge_statements(indicator, balance, cashflow, income)
+    def dated(other: DataFrame | None, name: str) -> DataFrame | None:
+        return other if other is None or "f_ann_date" not in other.columns else other.withColumnRenamed("f_ann_date", name)
+
+    df = merge_statements(indicator, dated(balance, "__ann_bs"), dated(cashflow, "__ann_cf"), dated(income, "__ann_inc"))
+    known = [F.col(c).cast("date") for c in ("__ann_cf", "__ann_inc", "__ann_bs", "f_ann_date", "ann_date") if c in df.columns]
+    if known:
+        df = df.withColumn("f_ann_date", announcement_date(*known))
     have = set(df.columns)
     default_list = F.array(*map(F.lit, default)).cast("array<string>")
     if exemptions is not None:
@@ -161,4 +168,4 @@ def fscore(indicator: DataFrame, balance: DataFrame | None = None, cashflow: Dat
         buffett_roa_flag=nullable_flag(known("roa_ttm"), F.col("roa_ttm") >= 15),
         buffett_cashflow_flag=nullable_flag(known("cfo_ttm", "ni_ttm", "cfo_to_ni_ttm"), (F.col("cfo_ttm") > 0) & (F.col("ni_ttm") > 0) & (F.col("cfo_to_ni_ttm") >= 1)),
     )
-    return df.drop("__npm", "__gpm_fallback", "__lever", "__turn")
+    return df.drop("__npm", "__gpm_fallback", "__lever", "__turn", "__ann_bs", "__ann_cf", "__ann_inc")

@@ -42,9 +42,9 @@ def cross_section_percentile(value: str, group: Sequence[str] = ("time", "l2_nam
     """Average rank over count (in percent) among the group's values; groups of fewer than ``min_group`` values, or of a null name, give null."""
     v = F.col(value)
     known = v.isNotNull()
-    w = Window.partitionBy(*group, known)
-    rank = F.rank().over(w.orderBy(value)) + (F.count(F.lit(1)).over(Window.partitionBy(*group, value)) - 1) / 2
-    n = F.count(v).over(w)
+    w = Window.partitionBy(*group)
+    n = F.count(v).over(w)  # nulls come last in both orders, so ranks of values are among values
+    rank = (F.rank().over(w.orderBy(v.asc_nulls_last())) + n + 1 - F.rank().over(w.orderBy(v.desc_nulls_last()))) / 2
     named = F.lit(True)
     for g in group:
         named = named & F.col(g).isNotNull()

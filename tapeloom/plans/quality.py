@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.checks import quality_checks  # noqa: F401
 from ..operators.joins import reconcile
 from ..operators.resample import rollup_bars
 
@@ -49,17 +50,3 @@ def repair_duplicate_bars(df: DataFrame, keep: int = 15, wrong: int = 8) -> Data
 
 def repair_timestamps(df: DataFrame, hours: Sequence[int], to: int = 15, time: str = "time") -> DataFrame:
     return df.withColumn(time, F.when(F.hour(time).isin(list(hours)), F.date_trunc("day", time) + F.make_interval(hours=F.lit(to))).otherwise(F.col(time)))
-
-
-def quality_checks(df: DataFrame, required: Sequence[str] = ("symbol", "time"), prices: Sequence[str] = ("open", "high", "low", "close"), volume: str = "volume", expected_rows: int | None = None) -> DataFrame:
-    """(rule, violations, passed): nulls, prices not above 0, volume below 0, repeated keys, row count."""
-    rules: list[tuple[str, Column]] = [(f"{c} is known", F.sum(F.col(c).isNull().cast("long"))) for c in required]
-    rules += [(f"{c} is positive", F.sum(F.coalesce(F.col(c) <= 0, F.lit(False)).cast("long"))) for c in prices if c in df.columns]
-    if volume in df.columns:
-        rules.append((f"{volume} is not negative", F.sum(F.coalesce(F.col(volume) < 0, F.lit(False)).cast("long"))))
-    rules.append(("times rise within a symbol", F.sum(F.coalesce(F.col("time") <= F.col("__before"), F.lit(False)).cast("long"))))
-    if expected_rows is not None:
-        rules.append(("rows as expected", F.abs(F.count("*") - expected_rows)))
-    rows = df.withColumn("__before", F.lag("time").over(Window.partitionBy("symbol").orderBy("time")))
-    listed = rows.agg(F.array(*[F.struct(F.lit(name).alias("rule"), F.coalesce(v, F.lit(0)).cast("long").alias("violations")) for name, v in rules]).alias("r"))
-    return listed.select(F.explode("r").alias("r")).select("r.rule", "r.violations", (F.col("r.violations") == 0).alias("passed"))

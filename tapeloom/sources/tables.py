@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -9,27 +10,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import stamp_close
+from ..operators.checks import quality_checks
 
 
 def upsert(base: DataFrame, new: DataFrame, keys: Sequence[str], keep: str = "last", updated_at: bool = False) -> DataFrame:
-    """``base`` with the rows of ``new`` by key: ``keep="last"`` takes new values on conflict, ``"first"`` the stored ones.
+    """``base`` with the rows of ``new`` by key: ``keep="last"`` takes the columns that ``new`` has on conflict and leaves the others as stored, ``"first"`` leaves all.
 
     One aggregation by key decides, combined before its shuffle.  Of equal keys in ``new`` the greatest row counts.  With ``updated_at`` a
     conflicting or new row is stamped with the time of the job either way.
     """
     stamp = F.current_timestamp()
-    a = base.withColumn("__new", F.lit(0))
-    b = new.withColumn("__new", F.lit(1))
     if updated_at:
-        b = b.withColumn("updated_at", stamp)
-    rows = a.unionByName(b, allowMissingColumns=True)
-    rest = [c for c in rows.columns if c not in keys and c != "__new"]
+        new = new.withColumn("updated_at", stamp)
+    rows = base.withColumn("__new", F.lit(0)).unionByName(new.withColumn("__new", F.lit(1)), allowMissingColumns=True)
+    columns = [c for c in rows.columns if c != "__new"]
+    rest = [c for c in columns if c not in keys]
     order = F.struct(F.col("__new") if keep == "last" else -F.col("__new"), *rest)
-    out = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("__r"), F.max("__new").alias("__touched"))
-    columns = [F.col(c) if c in keys else F.col("__r")[c].alias(c) for c in rows.columns if c != "__new"]
+    only_stored = [c for c in rest if c not in new.columns]
+    found = [F.max_by(F.struct(*rest), order).alias("__r"), F.max("__new").alias("__touched")]
+    if only_stored:
+        found.append(F.max_by(F.struct(*only_stored), F.when(F.col("__new") == 0, 1)).alias("__stored"))
+    picked = {c: F.col(c) for c in keys} | {c: F.col("__r")[c] for c in rest} | {c: F.col("__stored")[c] for c in only_stored}
     if updated_at:
-        columns = [F.when(F.col("__touched") == 1, stamp).otherwise(F.col("__r")["updated_at"]).alias("updated_at") if c == "updated_at" else col for c, col in zip([c for c in rows.columns if c != "__new"], columns)]
-    return out.select(*columns)
+        picked["updated_at"] = F.when(F.col("__touched") == 1, stamp).otherwise(picked["updated_at"])
+    return rows.groupBy(*keys).agg(*found).select(*[picked[c].alias(c) for c in columns])
 
 
 def processed_rows(bars: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,7 +92,7 @@ def _swap(spark: SparkSession, staging: str, path: str) -> None:
 
 
 def replace_all(spark: SparkSession, path: str, df: DataFrame) -> None:
-    """The whole table anew: written aside, then swapped in, so that readers never see a part."""
+    """The whole table anew: written aside, then renamed into place.  Readers never see a part of it, but between two renames they find no table."""
     staging = f"{path}.staging-{uuid.uuid4().hex}"
     df.write.parquet(staging)
     _swap(spark, staging, path)
@@ -99,6 +103,38 @@ def retain(df: DataFrame, since, time: str = "time") -> DataFrame:
     return df.where(F.col(time) >= F.lit(since).cast("timestamp"))
 
 
+def delete_before(spark: SparkSession, path: str, since, time: str = "time", by: str = "year") -> None:
+    """Delete a stored table's rows before a date.  The table is partitioned by the year of ``time``: whole years are dropped, and only the date's own year is rewritten."""
+    day = str(since)
+    year = int(day[:4])
+    fs, at = _fs(spark, path)
+    for entry in fs.listStatus(at):
+        name = entry.getPath().getName()
+        if name.startswith(f"{by}=") and int(name.split("=")[1]) < year:
+            fs.delete(entry.getPath(), True)
+    kept = retain(spark.read.parquet(path).where(F.col(by) == year), day, time)
+    staging = f"{path}.staging-{uuid.uuid4().hex}"
+    kept.write.parquet(staging)
+    _, part = _fs(spark, f"{path}/{by}={year}")
+    fs.delete(part, True)
+    spark.read.parquet(staging).write.mode("append").partitionBy(by).parquet(path)
+    fs.delete(_fs(spark, staging)[1], True)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder (spark.checkpoint.dir), removed at the session's end; without that setting in a temporary folder, in local mode only."""
+    sc = spark.sparkContext
+    where = sc.getConf().get("spark.checkpoint.dir")
+    if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        where = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    path = f"{where}/{name}-{uuid.uuid4().hex}"
+    fs, at = _fs(spark, path)
+    fs.deleteOnExit(at)
+    return path
+
+
 def truncate(spark: SparkSession, path: str) -> None:
     replace_all(spark, path, spark.read.parquet(path).limit(0))
 
@@ -118,6 +154,11 @@ def export(df: DataFrame, path: str, start=None, end=None, symbols: Sequence[str
     out.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", codec).partitionBy(*parts).parquet(path)
 
 
+def export_report(spark: SparkSession, path: str, expected_rows: int | None = None) -> DataFrame:
+    """(rule, violations, passed) of an exported table as it is stored: rows, unknown keys, prices not above 0, volume below 0, times that don't rise."""
+    return quality_checks(spark.read.parquet(path), expected_rows=expected_rows)
+
+
 def log_run(spark: SparkSession, path: str, job: str, status: str, rows: int, parameters: str = "{}") -> None:
     """Append one row for a job's run."""
     spark.range(1).select(F.lit(job).alias("job"), F.lit(status).alias("status"), F.lit(rows).cast("long").alias("n_rows"), F.lit(parameters).alias("parameters"), F.current_timestamp().alias("finished_at")).write.mode("append").parquet(path)

@@ -12,14 +12,15 @@ from ..operators.resample import bucket, rollup_bars
 from ..plans.incremental import classify
 from ..sources.tables import exists, write_upsert
 
-#: How far back late bars still count, by rollup.
+#: How far back late bars still count, by rollup, and how old a bucket must be.
 LOOK_BACK = {"week": "1 month", "month": "3 months"}
+LAG = "1 hour"
 FREQUENCIES = ("1 minute", "5 minutes", "15 minutes", "30 minutes", "60 minutes")
 
 
 def archive_ticks(ticks: DataFrame, path: str, checkpoint: str, late: str = "10 minutes", trigger: dict | None = None) -> StreamingQuery:
     """Ticks, one a symbol and time, to Parquet partitioned by day; repeats within the watermark are dropped."""
-    unique = ticks.withWatermark("time", late).dropDuplicatesWithinWatermark(["symbol", "time"]).withColumn("date", F.to_date("time"))
+    unique = ticks.withColumn("time", F.col("time").cast("timestamp")).withWatermark("time", late).dropDuplicatesWithinWatermark(["symbol", "time"]).withColumn("date", F.to_date("time"))
     return unique.writeStream.format("parquet").partitionBy("date").option("path", path).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -33,18 +34,21 @@ def ticks_to_bars(ticks: DataFrame, every: str = "5 minutes", late: str = "10 mi
     return bars.select("symbol", F.col("w.start").alias("time"), "open", "high", "low", "close", "volume", "ticks")
 
 
-def incremental_rollup(bars: DataFrame, base: Callable[[SparkSession], DataFrame], path: str, checkpoint: str, unit: str = "week", trigger: dict | None = None) -> StreamingQuery:
-    """Keep a rollup current: each batch's buckets (none older than the look-back) are computed anew from the base table and upserted."""
+def incremental_rollup(bars: DataFrame, base: Callable[[SparkSession], DataFrame], path: str, checkpoint: str, unit: str = "week", trigger: dict | None = None, now: str | None = None) -> StreamingQuery:
+    """Keep a rollup current: of each batch's buckets, those within the look-back and at least ``LAG`` old are computed anew from the base table and upserted.
+
+    Both are measured against the clock (or ``now``), so late data further back are ignored.  The target is partitioned by the bucket's year, and only years that a batch touches are read and rewritten."""
+    clock = F.lit(now).cast("timestamp") if now else F.current_timestamp()
 
     def batch(new: DataFrame, _: int) -> None:
         spark = new.sparkSession
         touched = new.select("symbol", bucket(unit).alias("__bucket")).distinct()
-        newest = touched.agg(F.max("__bucket")).first()[0]
-        if newest is None:
+        settled = clock - F.expr(f"INTERVAL {LAG}")
+        touched = touched.where((F.col("__bucket") >= settled - F.expr(f"INTERVAL {LOOK_BACK[unit]}")) & (F.col("__bucket") < settled))
+        if touched.isEmpty():
             return
-        touched = touched.where(F.col("__bucket") >= F.lit(newest) - F.expr(f"INTERVAL {LOOK_BACK[unit]}"))
         rows = base(spark).withColumn("__bucket", bucket(unit)).join(touched, ["symbol", "__bucket"], "left_semi").drop("__bucket")
-        write_upsert(spark, path, rollup_bars(rows, unit), ["symbol", "time"])
+        write_upsert(spark, path, rollup_bars(rows, unit).withColumn("year", F.year("time")), ["symbol", "time"], ["year"])
 
     return bars.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 

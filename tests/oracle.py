@@ -35,7 +35,7 @@ def rows(columns: list[str], data) -> list[tuple]:
     return sorted((tuple(plain(x[i]) for i in at) for x in data), key=repr)
 
 
-def differences(spark, query, sql: str, sf_dir: str, tolerance: float = 2e-6) -> list:
+def differences(spark, query, sql: str, sf_dir: str, tolerance: float = 1e-9) -> list:
     df = query(spark, sf_dir)
     got = rows(df.columns, [tuple(x) for x in df.collect()])
     rel = views(sf_dir).sql(sql)

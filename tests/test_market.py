@@ -1,5 +1,10 @@
 """Golden values, edge cases, storage and streams of the market operators."""
 
+import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 import datetime as dt
 
 import pytest
@@ -119,7 +124,9 @@ def test_incremental_rules_golden(spark):
     done = spark.createDataFrame([("a", "daily", D(2026, 4, 8)), ("a", "weekly", D(2026, 4, 10)), ("a", "monthly", D(2026, 3, 31))], "symbol string, freq string, latest date")
     got = {r.freq: (r.start_date, r.inclusive) for r in incremental.upsert_rules(src, done).collect()}
     assert got == {"daily": (D(2026, 4, 8), False), "weekly": (D(2026, 4, 10), True), "monthly": (D(2026, 3, 31), False)}
-    assert incremental.bars_needed("daily") == 80 and incremental.warmup_days(["monthly"]) == 1550
+    need = {r.freq: (r.bars, r.records, r.days) for r in incremental.warmup(spark).collect()}
+    assert need == {"daily": (80, 80, 160), "weekly": (70, 350, 490), "monthly": (50, 1100, 1550)}
+    assert {r.freq: r.bars for r in incremental.warmup(spark, ["tr", "unknown"]).collect()} == {"daily": 80, "weekly": 70, "monthly": 30}
 
 
 def test_percentile_levels_and_flags(spark):
@@ -247,14 +254,35 @@ def test_rollup_and_factor_streams(spark, tmp_path):
     b = bars(spark, [("a", "2024-01-02", 10, 11, 9, 10, 5, 1.0), ("a", "2024-01-03", 10, 12, 9, 11, 5, 1.0)])
     b.write.parquet(f"{tmp_path}/bars")
     stream = lambda: spark.readStream.schema(b.schema).parquet(f"{tmp_path}/bars")
-    ticks.incremental_rollup(stream(), lambda s: s.read.parquet(f"{tmp_path}/bars"), f"{tmp_path}/weekly", f"{tmp_path}/cp1").awaitTermination()
+    ticks.incremental_rollup(stream(), lambda s: s.read.parquet(f"{tmp_path}/bars"), f"{tmp_path}/weekly", f"{tmp_path}/cp1", now="2024-01-10").awaitTermination()
     assert [(r.high, r.close) for r in spark.read.parquet(f"{tmp_path}/weekly").collect()] == [(12.0, 11.0)]
     job = lambda s, symbols: s.read.parquet(f"{tmp_path}/bars").join(symbols, "symbol", "left_semi")
     ticks.recompute_on_factor_change(stream(), f"{tmp_path}/adj", f"{tmp_path}/cp2", job).awaitTermination()
     assert spark.read.parquet(f"{tmp_path}/adj").count() == 2
 
 
-def test_entry_imports_without_optional_parts(spark):
+def test_entry_imports_without_optional_parts(spark, tmp_path):
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and e.entry(spark).count() > 0
+    root = Path(e.__file__).parent
+    shutil.copytree(root / "tapeloom", tmp_path / "tapeloom", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+    from tapeloom.plans import catalog
+
+    assert said.stdout.split()[-2:] == [str(len(catalog.QUERIES))] * 2, said.stderr
+
+
+def test_upsert_leaves_columns_that_the_new_rows_lack(spark):
+    base = spark.createDataFrame([("a", 1, 5.0, "x"), ("b", 1, 6.0, "y")], "symbol string, day int, amount double, note string")
+    new = spark.createDataFrame([("a", 1, "new"), ("c", 1, "z")], "symbol string, day int, note string")
+    got = {r.symbol: (r.amount, r.note) for r in tables.upsert(base, new, ["symbol", "day"]).collect()}
+    assert got == {"a": (5.0, "new"), "b": (6.0, "y"), "c": (None, "z")}
+
+
+def test_hub_refuses_keys_without_a_key_column_and_unrestricted_bars(spark):
+    hub = Hub({"gdp": spark.range(1).withColumn("time", F.current_timestamp()), "daily": bars(spark, [("a", "2024-01-02", 10, 11, 9, 10, 5, 1.0)])})
+    with pytest.raises(ValueError):
+        hub.get("gdp", ["a"])
+    assert hub.get_daily().count() == 0 and hub.get_daily(["a"]).count() == 1

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Text that one slice of an Arrow batch holds at most (a longer single text makes a slice of its own).
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -74,6 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:]):
             yield batch.slice(a, b - a), col.slice(a, b - a).to_pylist()
+    give_back()
 
 
 class Words:
@@ -130,6 +131,7 @@ def word_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iter
     for batch in batches:
         if batch.num_rows:
             yield from ((batch.slice(a, b - a), Words(data, offsets)) for a, b, data, offsets in _flat(batch.column(batch.schema.get_field_index(column))))
+    give_back()
 
 
 def words_of(texts: list[bytes | None]) -> Words:
@@ -166,8 +168,9 @@ def hold(name: str, forget: Callable[[], object] = lambda: None) -> None:
 
 
 def give_back() -> None:
-    """Return freed memory to the system."""
+    """Return freed memory to the system: Spark keeps a task's Python worker, idle, beside the stages that follow."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, hold, mix, shared_dir, word_slices, words_of, written
+from .common import Words, give_back, hold, mix, shared_dir, word_slices, words_of, written
 from .graph import components
 
 SETS = "doc_id long, n long, set_id long, check long, sketch binary, shingle long, held long"
@@ -319,6 +319,8 @@ def join(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     common = counted.where(F.col("held") >= s.least_count).orderBy(F.desc("held"), "shingle").limit(s.frequent).toPandas()
     order = spark.sparkContext.broadcast(Order(common["shingle"].to_numpy(np.int64).view(np.uint64), common["held"].to_numpy(np.int64)))
     last = int(common["held"].min()) + 1 if len(common) == s.frequent else s.least_count
+    del common
+    give_back()
     boundary, list_rows = boundary_of(sets, counted, last, s), s.list_rows
     postings = rows.mapInArrow(lambda b: posting_batches(b, order.value, words, threshold, boundary, list_rows), POSTINGS)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, hold, mix, numbers, slices, training_sample
+from .common import Numbered, give_back, hold, mix, numbers, slices, training_sample
 
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 UNKNOWN = "und"
@@ -187,7 +187,10 @@ def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id"
     keys = rows.groupBy("id").agg(F.min(F.struct("lang", F.octet_length("text").alias("size"))).alias("x")).select("id", F.col("x.lang").alias("grp"), "x.size")
     got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.language_bytes, F.col("lang") == F.col("grp"))
     got = got.iloc[np.argsort([hash_of(i) for i in got["id"]])] if len(got) else got
-    return train([bytes(t) for t in got["text"]], got["lang"].tolist(), settings)
+    model = train([bytes(t) for t in got["text"]], got["lang"].tolist(), settings)
+    del got
+    give_back()
+    return model
 
 
 def hash_of(i) -> int:

@@ -41,7 +41,7 @@ class WordTokens:
     The tokenizer drops white space before it splits, so words between ASCII white space are independent.
     """
 
-    def __init__(self, path: str, limit: int = 1_200_000):
+    def __init__(self, path: str, limit: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

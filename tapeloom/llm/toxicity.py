@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, hold, numbers, slices, training_sample
+from .common import Numbered, give_back, hold, numbers, slices, training_sample
 
 SCHEMA = "doc_id long, score double, language_guess string"
 MARKS = (string.punctuation + string.whitespace).encode()
@@ -271,7 +271,10 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("text").isNotNull())
     keys = rows.groupBy("id").agg(F.min(F.octet_length("text")).alias("size")).join(y, "id")
     got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.class_bytes)
-    return train([bytes(t) for t in got["text"]], got["grp"].tolist(), [x if isinstance(x, str) else None for x in got["lang"]], settings)
+    model = train([bytes(t) for t in got["text"]], got["grp"].tolist(), [x if isinstance(x, str) else None for x in got["lang"]], settings)
+    del got
+    give_back()
+    return model
 
 
 def score_batches(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:

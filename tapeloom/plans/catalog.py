@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,14 +31,41 @@ def query(sql: str, recursive: bool = False, prelude: str = ""):
 
     def add(f: Callable[[Callable[[str], DataFrame]], DataFrame]):
         QUERIES[f.__name__] = lambda spark, sf_dir: f(lambda name: load(spark, sf_dir, name))
-        ORACLES[f.__name__] = oracle(sql, recursive, prelude)
+        ORACLES[f.__name__] = oracle(same_rounding(sql), recursive, same_rounding(prelude))
         return f
 
     return add
 
 
+#: Where values round up.  Not at one half: prices over powers of ten lie exactly there, and engines sum and round such ties differently.
+UP = 0.499
+
+
+def rnd(value, digits: int = 6):
+    """A column rounded by arithmetic that is the same in both engines."""
+    x = F.col(value) if isinstance(value, str) else value
+    return F.floor(x * 10.0**digits + (1 - UP)) / 10.0**digits
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return df.withColumns({c: rnd(c, digits) for c in columns})
+
+
+def same_rounding(sql: str) -> str:
+    """``round(x, n)`` of an oracle's text written out as ``rnd`` does it."""
+    out, at = "", 0
+    for m in re.finditer(r"\bround\(", sql):
+        if m.start() < at:
+            continue
+        depth, end, comma = 1, m.end(), None
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[end], 0)
+            comma = end if sql[end] == "," and depth == 1 else comma
+            end += 1
+        digits = int(sql[comma + 1 : end - 1])
+        out += f"{sql[at : m.start()]}(floor(({same_rounding(sql[m.end() : comma])})::DOUBLE * {10.0**digits!r}::DOUBLE + {1 - UP!r}::DOUBLE) / {10.0**digits!r}::DOUBLE)"
+        at = end
+    return out + sql[at:]
 
 
 def r(*columns: str, digits: int = 6) -> str:
@@ -45,14 +73,8 @@ def r(*columns: str, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) AS {c.split('.')[-1]}" for c in columns)
 
 
-def scaled(df: DataFrame, *columns: str) -> DataFrame:
-    """Six decimals by the same arithmetic in both engines, where values lie on ties that the engines' own rounding breaks differently."""
-    return df.withColumns({c: F.floor(F.col(c) * 1e6 + 0.5) / 1e6 for c in columns})
-
-
 def sc(x: str) -> str:
-    """The same in SQL."""
-    return f"floor(({x}) * 1e6 + 0.5) / 1e6"
+    return f"round({x}, 6)"
 
 
 def config(fx) -> DataFrame:
@@ -144,7 +166,7 @@ def _ratio_sql(unit: str) -> str:
 
 
 def _ratios(fx, unit: str) -> DataFrame:
-    return scaled(resample.rollup_ratios(fx("fx_ratios"), unit, ["pe_ttm", "pb"], ["ps_ttm", "dv_ttm"]), "avg_pe_ttm", "avg_pb", "ps_ttm", "dv_ttm")
+    return rounded(resample.rollup_ratios(fx("fx_ratios"), unit, ["pe_ttm", "pb"], ["ps_ttm", "dv_ttm"]), "avg_pe_ttm", "avg_pb", "ps_ttm", "dv_ttm")
 
 
 @query(_ratio_sql("week"))
@@ -296,7 +318,7 @@ def p1_fluent_pipeline(fx):
 
 @query(f"SELECT symbol, time, {sc('greatest(high - low, abs(high - pc), abs(low - pc))')} AS tr FROM (SELECT *, coalesce(lag(close) OVER (PARTITION BY symbol ORDER BY time), close) AS pc FROM ({_adjusted_sql('arg_max').replace('round(', '(').replace(', 6) AS', ') AS')}))")
 def p12_calculate_indicators(fx):
-    return scaled(calculate_indicators(fx("fx_factored"), ["tr", "unknown"]), "tr").select("symbol", "time", "tr")
+    return rounded(calculate_indicators(fx("fx_factored"), ["tr", "unknown"]), "tr").select("symbol", "time", "tr")
 
 
 _WEEK = "w AS (SELECT symbol, CAST(" + _ENDS["W"] + " AS DATE) AS time, arg_max(close * (adj_factor / base), time) AS close FROM (SELECT *, arg_max(adj_factor, time) OVER (PARTITION BY symbol) AS base FROM fx_factored) GROUP BY 1, 2)"
@@ -329,14 +351,14 @@ def v2_current_percentile(fx):
     return rounded(valuation.current_percentile(fx("fx_ratios"), "ps_ttm", 250), "current", "percentile")
 
 
-_CROSS = """CASE WHEN {v} IS NOT NULL AND l2_name IS NOT NULL AND count({v}) OVER (PARTITION BY time, l2_name) >= 3 THEN floor((rank() OVER (PARTITION BY time, l2_name, {v} IS NULL ORDER BY {v}) + (count(*) OVER (PARTITION BY time, l2_name, {v}) - 1) / 2.0) / count({v}) OVER (PARTITION BY time, l2_name) * 100 * 1e6 + 0.5) / 1e6 END"""
+_CROSS = """CASE WHEN {v} IS NOT NULL AND l2_name IS NOT NULL AND count({v}) OVER (PARTITION BY time, l2_name) >= 3 THEN round((rank() OVER (PARTITION BY time, l2_name, {v} IS NULL ORDER BY {v}) + (count(*) OVER (PARTITION BY time, l2_name, {v}) - 1) / 2.0) / count({v}) OVER (PARTITION BY time, l2_name) * 100, 6) END"""
 
 
 @query(f"SELECT symbol, time, l2_name, {_CROSS.format(v='pb')} AS pb_industry_pct FROM (SELECT q.symbol, q.time, m.l2_name, round(q.pb, 1) AS pb FROM fx_ratios q LEFT JOIN fx_members m ON q.symbol = m.ts_code AND m.ts_code % 7 <> 3)")
 def v3_cross_section_pct(fx):
-    rows = joins.with_membership(fx("fx_ratios"), fx("fx_members").where("ts_code % 7 <> 3")).withColumn("pb", F.round("pb", 1))
+    rows = joins.with_membership(fx("fx_ratios"), fx("fx_members").where("ts_code % 7 <> 3")).withColumn("pb", rnd("pb", 1))
     out = rows.withColumn("pb_industry_pct", valuation.cross_section_percentile("pb"))
-    return scaled(out, "pb_industry_pct").select("symbol", "time", "l2_name", "pb_industry_pct")
+    return rounded(out, "pb_industry_pct").select("symbol", "time", "l2_name", "pb_industry_pct")
 
 
 _PEG = "p AS (SELECT q.*, CASE WHEN q.pe_ttm > 0 AND g.netprofit_yoy > 0 THEN q.pe_ttm / g.netprofit_yoy END AS peg, g.netprofit_yoy FROM fx_ratios q ASOF LEFT JOIN fx_growth g ON q.symbol = g.symbol AND q.time >= g.ann_date)"
@@ -376,7 +398,7 @@ def _valued(fx) -> DataFrame:
     rows = valuation.with_peg(fx("fx_ratios"), growth(fx))
     out = valuation.industry_valuation(rows, fx("fx_members").where("ts_code % 7 <> 3"), config(fx))
     out = out.drop("core_indicator_pct_1250d", "ref_indicator_pct_1250d", "fscore_exemptions")
-    return scaled(out, "core_indicator_value", "core_indicator_industry_pct", "ref_indicator_value", "ref_indicator_industry_pct")
+    return rounded(out, "core_indicator_value", "core_indicator_industry_pct", "ref_indicator_value", "ref_indicator_industry_pct")
 
 
 @query("SELECT * FROM iv", False, _VALUED)
@@ -418,12 +440,12 @@ def _q(n: int) -> str:
 
 @query(f"SELECT s.ts_code, s.end_date, round({_TTM.format(c='roa')}, 6) AS roa_ttm, round({_TTM.format(c='n_income')}, 2) AS ni_ttm FROM {_TTM_JOIN}")
 def f1_cumulative_to_ttm(fx):
-    return fx("fx_statements").select("ts_code", "end_date", F.round(statements.ttm_from_cumulative("roa"), 6).alias("roa_ttm"), F.round(statements.ttm_from_cumulative("n_income"), 2).alias("ni_ttm"))
+    return fx("fx_statements").select("ts_code", "end_date", rnd(statements.ttm_from_cumulative("roa"), 6).alias("roa_ttm"), rnd(statements.ttm_from_cumulative("n_income"), 2).alias("ni_ttm"))
 
 
 @query(f"SELECT ts_code, end_date, CASE WHEN count(q_gsprofit_margin) {_q(4)} = 4 THEN round(avg(q_gsprofit_margin) {_q(4)}, 6) END AS mean4, CASE WHEN count(q_gsprofit_margin) {_q(4)} = 4 THEN round(sum(q_gsprofit_margin) {_q(4)}, 6) END AS sum4 FROM fx_statements")
 def f2_quarterly_ttm(fx):
-    return fx("fx_statements").select("ts_code", "end_date", F.round(statements.ttm_from_quarterly("q_gsprofit_margin"), 6).alias("mean4"), F.round(statements.ttm_from_quarterly("q_gsprofit_margin", "sum"), 6).alias("sum4"))
+    return fx("fx_statements").select("ts_code", "end_date", rnd(statements.ttm_from_quarterly("q_gsprofit_margin"), 6).alias("mean4"), rnd(statements.ttm_from_quarterly("q_gsprofit_margin", "sum"), 6).alias("sum4"))
 
 
 @query("SELECT ts_code, end_date, CAST(coalesce(roa > lag(roa, 4) OVER w, false) AS INT) AS better, CAST(coalesce(total_share <= lag(total_share, 4) OVER w, false) AS INT) AS no_more_shares FROM fx_statements WINDOW w AS (PARTITION BY ts_code ORDER BY end_date)")
@@ -439,17 +461,17 @@ def f4_roe_5y_avg(fx):
 
 @query(f"SELECT ts_code, end_date, CASE WHEN count(roa) {_q(12)} >= 4 THEN round(stddev_samp(roa) {_q(12)}, 6) END AS roa_std FROM fx_statements")
 def f5_rolling_std(fx):
-    return fx("fx_statements").select("ts_code", "end_date", F.round(statements.rolling_std("roa"), 6).alias("roa_std"))
+    return fx("fx_statements").select("ts_code", "end_date", rnd(statements.rolling_std("roa"), 6).alias("roa_std"))
 
 
 @query(f"SELECT ts_code, end_date, CASE WHEN count(n_income) {_q(12)} >= 3 THEN round(corr(n_income, n_cashflow_act) {_q(12)}, 5) END AS ni_cfo_corr FROM fx_statements")
 def f6_rolling_corr(fx):
-    return fx("fx_statements").select("ts_code", "end_date", F.round(statements.rolling_corr("n_income", "n_cashflow_act"), 5).alias("ni_cfo_corr"))
+    return fx("fx_statements").select("ts_code", "end_date", rnd(statements.rolling_corr("n_income", "n_cashflow_act"), 5).alias("ni_cfo_corr"))
 
 
 @query("SELECT ts_code, end_date, round(roa - lag(roa, 12) OVER (PARTITION BY ts_code ORDER BY end_date), 6) AS roa_diff FROM fx_statements")
 def f7_diff_n(fx):
-    return fx("fx_statements").select("ts_code", "end_date", F.round(statements.diff_n("roa"), 6).alias("roa_diff"))
+    return fx("fx_statements").select("ts_code", "end_date", rnd(statements.diff_n("roa"), 6).alias("roa_diff"))
 
 
 _SCORE = (

@@ -217,7 +217,7 @@ def p5_quality_job(fx):
 def p7_industry_job(fx):
     rows = valuation.with_peg(fx("fx_ratios"), c.growth(fx))
     out = jobs.industry_job(rows, fx("fx_members").where("ts_code % 7 <> 3"), c.config(fx), since="1997-01-01")
-    return c.scaled(out, "core_indicator_value", "core_indicator_industry_pct").select("symbol", "time", "l3_name", "core_indicator_type", "core_indicator_value", "core_indicator_industry_pct")
+    return c.rounded(out, "core_indicator_value", "core_indicator_industry_pct").select("symbol", "time", "l3_name", "core_indicator_type", "core_indicator_value", "core_indicator_industry_pct")
 
 
 @c.query("SELECT * FROM sn", True, c._SNAP)

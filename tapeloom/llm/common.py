@@ -276,4 +276,4 @@ def training_sample(keys: DataFrame, texts: DataFrame, rows: int, text_bytes: in
     if same is not None:
         found = found.where(same)
     found = found.select("id", "grp", "text", "lang", "most").mapInArrow(run_batches, f"id {types['id']}, grp {types['grp']}, text binary, lang string, most int")
-    return found.groupBy("id").agg(F.min(F.struct("text", "grp", "lang")).alias("x")).select("id", "x.grp", "x.text", "x.lang").toPandas().sort_values("id")
+    return found.groupBy("id").agg(F.min(F.struct("text", "grp", "lang")).alias("x")).select("id", "x.grp", "x.text", "x.lang").toArrow().to_pandas().sort_values("id")

@@ -316,9 +316,9 @@ def join(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id
     found = written(rows.mapInArrow(lambda b: set_batches(b, words, local_count), SETS), "sets")
     sets = found.where("shingle is null").select("doc_id", "n", "set_id", "check")
     counted = written(found.where("shingle is not null").groupBy("shingle").agg(F.sum("held").alias("held")), "counted")
-    common = counted.where(F.col("held") >= s.least_count).orderBy(F.desc("held"), "shingle").limit(s.frequent).toPandas()
-    order = spark.sparkContext.broadcast(Order(common["shingle"].to_numpy(np.int64).view(np.uint64), common["held"].to_numpy(np.int64)))
-    last = int(common["held"].min()) + 1 if len(common) == s.frequent else s.least_count
+    common = counted.where(F.col("held") >= s.least_count).orderBy(F.desc("held"), "shingle").limit(s.frequent).toArrow()
+    order = spark.sparkContext.broadcast(Order(common["shingle"].to_numpy().view(np.uint64), common["held"].to_numpy()))
+    last = int(common["held"].to_numpy().min()) + 1 if len(common) == s.frequent else s.least_count
     del common
     give_back()
     boundary, list_rows = boundary_of(sets, counted, last, s), s.list_rows

@@ -16,6 +16,8 @@ BLOCK = 1024
 WINDOW_ROWS = 20_000
 #: Slots that one row is exploded into.
 SLOT_RUN = 4096
+#: Slots of a task.
+SLOT_TASK = 65_536
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -101,7 +103,7 @@ def schedule(listed: DataFrame, block: int = BLOCK) -> DataFrame:
     bits = max(1, (int(slots) - 1).bit_length())
     if bits > 60:
         raise ValueError("blocks are too small for so many words")
-    runs = quotas.where("quota > 0").select("number", "start", "quota", F.explode(F.expr(f"sequence(0L, (quota - 1) div {SLOT_RUN})")).alias("run")).repartition("number", "run")
+    runs = quotas.where("quota > 0").select("number", "start", "quota", F.explode(F.expr(f"sequence(0L, (quota - 1) div {SLOT_RUN})")).alias("run")).repartition(-(-int(slots) // SLOT_TASK) or 1, "number", "run")
     points = runs.select("number", "start", (F.col("start") + F.col("quota")).alias("stop"), F.explode(F.expr(f"sequence(start + run * {SLOT_RUN}, start + least(quota, (run + 1) * {SLOT_RUN}) - 1)")).alias("v"))
     points = points.withColumn("j", F.conv(F.reverse(F.lpad(F.bin("v"), bits, "0")), 2, 10).cast("long"))
     return points.select(F.expr(_before("j", f"{slots}L", "v", bits)).alias("slot"), "number", (F.expr(_before("j", "stop", "v", bits)) - F.expr(_before("j", "start", "v", bits))).alias("nth_block"))
@@ -127,7 +129,8 @@ def mix(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5,
     pieces = pieces.withColumn("nth_block", F.explode(F.expr(f"sequence(a div {block}, (b - 1) div {block})")))
     lo, hi = F.greatest("a", F.col("nth_block") * block), F.least("b", (F.col("nth_block") + 1) * block)
     pieces = pieces.select("number", "nth_block", "nth", "doc_id", "epoch", (lo - F.col("nth_block") * block).alias("offset"), (lo - F.col("a")).alias("start"), (hi - lo).alias("length"))
-    mixed = pieces.join(schedule(listed, block), ["number", "nth_block"]).select("slot", "offset", "number", "nth", "doc_id", "epoch", "start", "length")
+    # Spark can't tell how many slots a run makes, so it is told to shuffle them
+    mixed = pieces.join(schedule(listed, block).hint("merge"), ["number", "nth_block"]).select("slot", "offset", "number", "nth", "doc_id", "epoch", "start", "length")
     return mixed, placed.select("number", "nth", "doc_id", "source", "size", "source_size", "target")
 
 

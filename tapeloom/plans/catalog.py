@@ -911,4 +911,4 @@ def x2_ticks_to_bars(fx):
     return ticks.ticks_to_bars(fx("fx_ticks"))
 
 
-from . import catalog_jobs  # noqa: E402, F401  (registers further queries here)
+from . import catalog_jobs, catalog_streams  # noqa: E402, F401  (register further queries here)

@@ -230,7 +230,7 @@ def p10_macro_job(fx):
     for path, out in zip(paths, both):
         tables.replace_all(spark, path, out.limit(1))
         tables.replace_all(spark, path, out)
-    return spark.read.parquet(paths[1]).select("time", "l3_name", "l2_name", "config_macro_cycle", "is_present_in_members", "matches_raw_phase", "matches_stable_phase")
+    return tables.read(spark, paths[1]).select("time", "l3_name", "l2_name", "config_macro_cycle", "is_present_in_members", "matches_raw_phase", "matches_stable_phase")
 
 
 @c.query(f"SELECT symbol, time, CASE WHEN count(close) {c._w(20)} >= 20 THEN round(avg(close) {c._w(20)}, 6) END AS ma_20 FROM (SELECT symbol, time, close * (adj_factor / base) AS close FROM (SELECT *, arg_max(adj_factor, time) OVER (PARTITION BY symbol) AS base FROM fx_factored)) WHERE symbol IN (SELECT ts_code FROM fx_members WHERE l1_name = 'ASIA')")
@@ -277,7 +277,7 @@ def k4_store_industry(fx):
     kept = tables.storable(rows, ["symbol", "time", "l3_name", "fscore_exemptions", "not there"])
     tables.write_upsert(spark, path, kept.where("symbol % 3 <> 0").withColumn("l3_name", F.lit("before")), ["symbol", "time"])
     tables.write_upsert(spark, path, kept, ["symbol", "time"])
-    return spark.read.parquet(path)
+    return tables.read(spark, path)
 
 
 @c.query("SELECT symbol, time, round(CASE WHEN symbol % 2 = 0 THEN close * 3 ELSE close END, 6) AS close, volume FROM fx_bars")
@@ -293,20 +293,20 @@ def k5_replace_all(fx):
     b = fx("fx_bars").select("symbol", "time", "volume")
     tables.replace_all(spark, path, b.where("symbol % 2 = 0"))
     tables.replace_all(spark, path, b.where("symbol % 2 = 1"))
-    return spark.read.parquet(path)
+    return tables.read(spark, path)
 
 
 @c.query("SELECT symbol, time, volume FROM fx_bars WHERE time >= '1996-05-15'")
 def k6_delete_before(fx):
     spark, path = session(fx), tables.scratch(fx("supplier").sparkSession, "retained")
-    fx("fx_bars").select("symbol", "time", "volume", F.year("time").alias("year")).repartition("year").write.partitionBy("year").parquet(path)
+    tables.replace_all(spark, path, fx("fx_bars").select("symbol", "time", "volume", F.year("time").alias("year")).repartition("year"), ["year"])
     tables.delete_before(spark, path, "1996-05-15")
-    return spark.read.parquet(path).select("symbol", "time", "volume")
+    return tables.read(spark, path).select("symbol", "time", "volume")
 
 
 @c.query(
     "SELECT rule, 0 AS violations, true AS passed, (SELECT count(*) FROM fx_bars WHERE time >= '1996-01-01' AND time < '1998-01-01') AS n_rows "
-    "FROM (SELECT unnest(['symbol is known', 'time is known', 'open is positive', 'high is positive', 'low is positive', 'close is positive', 'volume is not negative', 'times rise within a symbol', 'rows as expected']) AS rule)"
+    "FROM (SELECT unnest(['symbol is known', 'time is known', 'open is positive', 'high is positive', 'low is positive', 'close is positive', 'volume is not negative', 'times rise within a symbol', 'rows as expected', 'files of a symbol follow each other']) AS rule)"
 )
 def k7_etl_export(fx):
     """Two runs of one range, the second over the partitions of the first, and the report of what is stored."""
@@ -332,7 +332,7 @@ def k9_truncate(fx):
     fx("fx_bars").write.parquet(path)
     before = spark.read.parquet(path).count()
     tables.truncate(spark, path)
-    return spark.read.parquet(path).agg(F.lit(before).cast("long").alias("before"), F.count("*").alias("after"))
+    return tables.read(spark, path).agg(F.lit(before).cast("long").alias("before"), F.count("*").alias("after"))
 
 
 # --- streams, each over all there is and then ended -----------------------------------------------------------------------------
@@ -360,7 +360,7 @@ def x3_incremental_rollup(fx):
     spark = session(fx)
     path = tables.scratch(spark, "weeks")
     ticks.incremental_rollup(_stream(fx, "fx_factored"), lambda _: fx("fx_factored"), path, tables.scratch(spark, "state"), "week", now="1997-09-01 01:00:00").awaitTermination()
-    return c.rounded(spark.read.parquet(path), "close").select("symbol", "time", "close", "volume")
+    return c.rounded(tables.read(spark, path), "close").select("symbol", "time", "close", "volume")
 
 
 @c.query("SELECT symbol, time, CASE WHEN symbol % 8 = 0 AND symbol % 10 <> 9 THEN round(close, 6) ELSE -1 END AS close FROM fx_bars")
@@ -369,7 +369,7 @@ def x4_factor_changes(fx):
     spark = session(fx)
     path = tables.scratch(spark, "adjusted")
     moved = F.col("adj_factor") + F.when(F.col("symbol") % 8 == 0, 0.01).otherwise(0.0)
-    fx("fx_factored").select("symbol", "time", F.lit(-1.0).alias("close"), moved.alias("adj_factor")).write.parquet(path)
+    tables.replace_all(spark, path, ticks.dealt(fx("fx_factored").select("symbol", "time", F.lit(-1.0).alias("close"), moved.alias("adj_factor"))), ["part"])
     job = lambda _, symbols: fx("fx_factored").join(symbols, "symbol", "left_semi").select("symbol", "time", "close", "adj_factor")
     ticks.recompute_on_factor_change(_stream(fx, "fx_adj_factor"), path, tables.scratch(spark, "state"), job).awaitTermination()
-    return c.rounded(spark.read.parquet(path), "close").select("symbol", "time", "close")
+    return c.rounded(tables.read(spark, path), "close").select("symbol", "time", "close")

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.resample import bucket, rollup_bars
-from ..plans.incremental import classify
-from ..sources.tables import exists, write_upsert
+from ..operators.summary import latest_row
+from ..plans.incremental import TOLERANCE
+from ..sources.tables import exists, read, write_upsert
 
 #: How far back late bars still count, by rollup, and how old a bucket must be.
 LOOK_BACK = {"week": "1 month", "month": "3 months"}
@@ -53,16 +54,34 @@ def incremental_rollup(bars: DataFrame, base: Callable[[SparkSession], DataFrame
     return bars.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def recompute_on_factor_change(factors: DataFrame, path: str, checkpoint: str, job: Callable[[SparkSession, DataFrame], DataFrame], keys: Sequence[str] = ("symbol", "time"), trigger: dict | None = None) -> StreamingQuery:
-    """Symbols whose factor has moved since they were processed are recomputed by ``job(spark, symbols)`` and upserted into ``path``."""
+def dealt(df: DataFrame, parts: int = 64) -> DataFrame:
+    """Rows with ``part``, the hash partition of their symbol."""
+    return df.withColumn("part", F.pmod(F.xxhash64(F.col("symbol").cast("string")), F.lit(parts)).cast("int"))
+
+
+def recompute_on_factor_change(factors: DataFrame, path: str, checkpoint: str, job: Callable[[SparkSession, DataFrame], DataFrame], keys: Sequence[str] = ("symbol", "time"), parts: int = 64, trigger: dict | None = None) -> StreamingQuery:
+    """Symbols whose latest factor differs from the one they were last processed with are recomputed by ``job(spark, symbols)`` and upserted into ``path``.
+
+    What is known of a symbol between batches is one row of ``{path}-state``: its last processed factor and that one's time.  Target and state are dealt into the same
+    ``parts`` hash partitions (column ``part``), so a batch reads and writes only those of its own symbols, however large both tables are.
+    The target is one of ``tables.read``, with ``part`` from ``dealt``.  Where there is a target but no state, the state is built from it once.  A factor that comes late, of an earlier time than the processed one, changes
+    nothing.  The target is written before the state: a batch that stops between them is done again, with the same rows.
+    """
+    state = f"{path}-state"
 
     def batch(new: DataFrame, _: int) -> None:
         spark = new.sparkSession
-        if exists(spark, path):
-            done = spark.read.parquet(path).select("symbol", "time", "adj_factor")
-            symbols = classify(new, done, new.select("symbol").distinct()).where("needs_full").select("symbol")
-        else:
-            symbols = new.select("symbol").distinct()
-        write_upsert(spark, path, job(spark, symbols), list(keys))
+        now = dealt(latest_row(new.select("symbol", "time", "adj_factor").where("symbol IS NOT NULL AND time IS NOT NULL"), ["symbol"]), parts)
+        touched = [r.part for r in now.select("part").distinct().collect()]  # at most ``parts``
+        if not touched:
+            return
+        if not exists(spark, state):
+            done = dealt(latest_row(read(spark, path).select("symbol", "time", "adj_factor"), ["symbol"]), parts) if exists(spark, path) else now.limit(0)
+            write_upsert(spark, state, done, ["symbol"], ["part"])
+        done = read(spark, state).where(F.col("part").isin(touched)).select("symbol", F.col("time").alias("__then"), F.col("adj_factor").alias("__factor"))
+        moved = F.col("__then").isNull() | ((F.col("time") >= F.col("__then")) & (F.abs(F.coalesce("adj_factor", F.lit(1.0)) - F.coalesce("__factor", F.lit(1.0))) > TOLERANCE))
+        changed = now.join(done, "symbol", "left").where(moved).select("symbol", "time", "adj_factor", "part")
+        write_upsert(spark, path, dealt(job(spark, changed.select("symbol")), parts), list(keys), ["part"])
+        write_upsert(spark, state, changed, ["symbol"], ["part"])
 
     return factors.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -172,13 +172,13 @@ def test_write_upsert_touches_only_its_partitions(spark, tmp_path):
     df = lambda rows: spark.createDataFrame(rows, "symbol string, day int, v int, month int")
     tables.write_upsert(spark, p, df([("a", 1, 1, 1), ("a", 2, 1, 2)]), ["symbol", "day"], ["month"])
     tables.write_upsert(spark, p, df([("a", 2, 9, 2), ("b", 2, 5, 2)]), ["symbol", "day"], ["month"])
-    assert {(r.symbol, r.day, r.v) for r in spark.read.parquet(p).collect()} == {("a", 1, 1), ("a", 2, 9), ("b", 2, 5)}
+    assert {(r.symbol, r.day, r.v) for r in tables.read(spark, p).collect()} == {("a", 1, 1), ("a", 2, 9), ("b", 2, 5)}
     q = f"{tmp_path}/u"
     tables.write_upsert(spark, q, df([("a", 1, 1, 1)]), ["symbol", "day"])
     tables.write_upsert(spark, q, df([("a", 1, 2, 1)]), ["symbol", "day"], keep="first")
-    assert [r.v for r in spark.read.parquet(q).collect()] == [1]
+    assert [r.v for r in tables.read(spark, q).collect()] == [1]
     tables.truncate(spark, q)
-    assert spark.read.parquet(q).count() == 0
+    assert tables.read(spark, q).count() == 0
 
 
 def test_export_and_run_log(spark, tmp_path):
@@ -255,10 +255,10 @@ def test_rollup_and_factor_streams(spark, tmp_path):
     b.write.parquet(f"{tmp_path}/bars")
     stream = lambda: spark.readStream.schema(b.schema).parquet(f"{tmp_path}/bars")
     ticks.incremental_rollup(stream(), lambda s: s.read.parquet(f"{tmp_path}/bars"), f"{tmp_path}/weekly", f"{tmp_path}/cp1", now="2024-01-10").awaitTermination()
-    assert [(r.high, r.close) for r in spark.read.parquet(f"{tmp_path}/weekly").collect()] == [(12.0, 11.0)]
+    assert [(r.high, r.close) for r in tables.read(spark, f"{tmp_path}/weekly").collect()] == [(12.0, 11.0)]
     job = lambda s, symbols: s.read.parquet(f"{tmp_path}/bars").join(symbols, "symbol", "left_semi")
     ticks.recompute_on_factor_change(stream(), f"{tmp_path}/adj", f"{tmp_path}/cp2", job).awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/adj").count() == 2
+    assert tables.read(spark, f"{tmp_path}/adj").count() == 2
 
 
 def test_entry_imports_without_optional_parts(spark, tmp_path):

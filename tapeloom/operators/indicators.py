@@ -10,9 +10,12 @@ from abc import ABC, abstractmethod
 from collections.abc import Callable, Sequence
 from math import ceil
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .kernels import GROUP_ROWS, apply_kernel, pandas_kernel
 from .scan import affine_scan, keep_columns
 
 
@@ -21,7 +24,7 @@ def by_symbol():
 
 
 class Indicator(ABC):
-    """``name``, the ``columns`` it adds, the input it needs, and ``apply``.  A kernel in pandas can be had by ``applyInPandas`` grouped by symbol in ``apply``."""
+    """``name``, the ``columns`` it adds, the input it needs, and ``apply``.  A kernel in pandas is a ``Kernel``."""
 
     needs: Sequence[str] = ("symbol", "time", "close")
 
@@ -187,6 +190,31 @@ class NDA(Indicator):
         return bars.withColumn("nda_value", F.when(full, score)).withColumn("volume_confirmed", F.col("nda_value") >= 1)
 
 
+class Kernel(Indicator):
+    """An indicator by a function of a symbol's rows as a pandas frame, in order of time, that returns the declared columns (a schema in SQL), a row for each row.
+
+    A value may depend on the ``warmup - 1`` rows before its own; symbols of over ``rows`` rows are cut with that overlap.
+    """
+
+    def __init__(self, name: str, columns: str, calculate: Callable[[pd.DataFrame], pd.DataFrame], warmup: int = 1, needs: Sequence[str] = ("symbol", "time", "close"), rows: int = GROUP_ROWS):
+        self._name, self._schema, self._kernel, self._warmup, self.needs, self._rows = name, columns, pandas_kernel(calculate), warmup, needs, rows
+
+    @property
+    def warmup(self) -> int:
+        return self._warmup
+
+    @property
+    def name(self) -> str:
+        return self._name
+
+    @property
+    def columns(self) -> list[str]:
+        return StructType.fromDDL(self._schema).names
+
+    def calculate(self, bars: DataFrame) -> DataFrame:
+        return apply_kernel(bars, self._kernel, self._schema, warmup=self._warmup - 1, rows=self._rows)
+
+
 REGISTRY: dict[str, Callable[[], Indicator]] = {}
 
 

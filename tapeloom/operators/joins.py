@@ -7,13 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Dimension tables up to so many rows are broadcast; larger ones are joined by a shuffle.
-BROADCAST_ROWS = 200_000
-
-
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``rows`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+from .ranges import cut, matched, small
 
 
 def bars_with_factor(bars: DataFrame, factors: DataFrame) -> DataFrame:
@@ -22,23 +16,34 @@ def bars_with_factor(bars: DataFrame, factors: DataFrame) -> DataFrame:
     return bars.join(factors.select("symbol", "time", "adj_factor"), ["symbol", "time"], "left").withColumn("adj_factor", F.coalesce("adj_factor", F.lit(1.0)))
 
 
-def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, by: Sequence[str] = (), tie: Sequence[str] = (), prefix: str = "") -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, left_time: str, right_time: str, by: Sequence[str] = (), tie: Sequence[str] = (), prefix: str = "", rows: int | None = None, bucket: str = "day") -> DataFrame:
     """Each left row with the last right row of the same key at or before its time; unmatched ones with nulls.
 
     Both sides are laid in one stream by key and time, right rows first at equal times (``tie`` orders equal right times), and
     the last right row so far is carried forward as a whole, so a matched row's nulls stay null.  One shuffle, no row is compared with another.
+
+    With ``rows`` a key is cut into ranges of time of about so many rows (``ranges.cut``), which different tasks read; the last right row of each
+    range, one row a range, is carried over to the next ones in a second small pass.  So a key with half of all rows, or no key at all, spreads over tasks.
     """
     keys = list(by)
     payload = [c for c in right.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in payload])
     kind = right.select(packed.alias("p")).schema["p"].dataType
-    rows = F.struct(*[F.col(c) for c in left.columns if c not in keys])
-    row_kind = left.select(rows.alias("p")).schema["p"].dataType
+    row = F.struct(*[F.col(c) for c in left.columns if c not in keys])
+    row_kind = left.select(row.alias("p")).schema["p"].dataType
     tie_cols = [F.col(c) for c in tie]
-    a = left.select(*keys, F.col(left_time).cast("timestamp").alias("__at"), F.lit(1).alias("__side"), *[F.lit(None).cast(right.schema[c].dataType).alias(f"__tie{i}") for i, c in enumerate(tie)], rows.alias("__left"), F.lit(None).cast(kind).alias("__right"))
+    a = left.select(*keys, F.col(left_time).cast("timestamp").alias("__at"), F.lit(1).alias("__side"), *[F.lit(None).cast(right.schema[c].dataType).alias(f"__tie{i}") for i, c in enumerate(tie)], row.alias("__left"), F.lit(None).cast(kind).alias("__right"))
     b = right.where(F.col(right_time).isNotNull()).select(*keys, F.col(right_time).cast("timestamp").alias("__at"), F.lit(0).alias("__side"), *[c.alias(f"__tie{i}") for i, c in enumerate(tie_cols)], F.lit(None).cast(row_kind).alias("__left"), packed.alias("__right"))
-    w = Window.partitionBy(*keys).orderBy("__at", "__side", *[f"__tie{i}" for i in range(len(tie))]).rowsBetween(Window.unboundedPreceding, 0)
-    out = a.unionByName(b).withColumn("__hit", F.last("__right", ignorenulls=True).over(w)).where("__side = 1")
+    ties = [f"__tie{i}" for i in range(len(tie))]
+    stream, groups = a.unionByName(b), keys
+    if rows is not None:
+        stream, groups = cut(stream, keys, "__at", rows, bucket=bucket), [*keys, "__range"]
+    w = Window.partitionBy(*groups).orderBy("__at", "__side", *ties).rowsBetween(Window.unboundedPreceding, 0)
+    out = stream.withColumn("__hit", F.last("__right", ignorenulls=True).over(w)).where("__side = 1")
+    if rows is not None:
+        ends = stream.groupBy(*groups).agg(F.max_by("__right", F.when(F.col("__side") == 0, F.struct("__at", *ties))).alias("__end"))
+        earlier = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+        out = matched(out, ends.withColumn("__carried", F.last("__end", ignorenulls=True).over(earlier)).drop("__end"), groups).withColumn("__hit", F.coalesce("__hit", "__carried"))
     taken = set(left.columns)
     return out.select(*keys, *[F.col("__left")[c].alias(c) for c in left.columns if c not in keys], *[F.col("__hit")[c].alias(prefix + c) for c in payload if prefix + c not in taken])
 

@@ -8,12 +8,13 @@ from math import log
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranges import cut, matched
 
 #: Weight of a block too far back to change a double.
 NOTHING = 1e-22
 
 
-def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "symbol", order: str = "time", seed: str = "first", span: int = 1, block: int = 1024) -> DataFrame:
+def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "symbol", order: str = "time", seed: str = "first", span: int = 1, block: int = 1024, rows: int | None = None, bucket: str = "day") -> DataFrame:
     """Adds ``out`` with y(t) = (1 - alpha) * y(t-1) + alpha * x(t) for each key.
 
     ``seed="first"`` starts at the first non-null value; ``seed="sma"`` starts at row ``span`` of the non-null values with their mean, rows
@@ -23,31 +24,65 @@ def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "s
     and blocks are short enough for these not to overflow.  The carry into a block is y at the end of the block before: a sum over the
     ends of earlier blocks, taken by doubling (the last one, two, four blocks) until what is further back weighs less than ``NOTHING``.
     All windows are by key, so one shuffle serves every scan of a chain; no row is joined and no array is built.
+
+    With ``rows`` a key is cut into ranges of time of about so many rows (``order`` is a date or time then), which different tasks scan in two phases: each
+    range on its own, from nothing, and then a table of one row a range, in which a range's end is what it has made plus what it got, faded by its length.
+    Joined back, what a range got fades along its rows.
     """
     d = 1.0 - alpha
     block = max(1, min(block, int(600 / -log(d)))) if 0 < d < 1 else 1
-    by_key = Window.partitionBy(key)
-    sofar = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    before = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     x = F.col(value).cast("double")
-    rows = df.withColumn("__k", F.when(x.isNotNull(), F.count(x).over(sofar)))
     start = span if seed == "sma" else 1
-    first = F.avg(F.when(F.col("__k") <= span, x)).over(by_key) if seed == "sma" else x
-    n = F.col("__k") - start  # 0 at the seed
-    rows = rows.withColumn("__a", F.when(n == 0, first).when(n > 0, x * alpha)).withColumn("__b", F.floor(n / block)).withColumn("__i", n % block)
-    within = Window.partitionBy(key, "__b")
+    if rows is None:
+        by_key = Window.partitionBy(key)
+        rows_ = df.withColumn("__k", F.when(x.isNotNull(), F.count(x).over(by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))))
+        first = F.avg(F.when(F.col("__k") <= span, x)).over(by_key) if seed == "sma" else x
+        n = F.col("__k") - start  # 0 at the seed
+        local, groups = n, [key]
+    else:
+        groups = [key, "__range"]
+        by_key = Window.partitionBy(*groups)
+        ranged = cut(df, [key], order, rows, bucket=bucket)
+        earlier = Window.partitionBy(key).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+        counted = ranged.groupBy(*groups).agg(F.count(x).alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))).drop("__n")
+        rows_ = matched(ranged, counted, groups)
+        rows_ = rows_.withColumn("__k", F.when(x.isNotNull(), F.col("__before") + F.count(x).over(by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))))
+        first = x
+        if seed == "sma":
+            rows_ = matched(rows_, rows_.where(F.col("__k") <= span).groupBy(key).agg(F.avg(x).alias("__first")), [key], "left")
+            first = F.col("__first")
+        n = F.col("__k") - start
+        local = F.col("__k") - F.greatest(F.lit(start), F.col("__before") + 1)  # 0 at the range's first row that counts
+    sofar = by_key.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows_ = rows_.withColumn("__a", F.when(n == 0, first).when(n > 0, x * alpha)).withColumn("__b", F.floor(local / block)).withColumn("__i", local % block)
+    within = Window.partitionBy(*groups, "__b")
     power = lambda e: F.pow(F.lit(d), e)
     total = F.sum(F.col("__a") * power(-F.col("__i"))).over(within.orderBy("__k").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("__s", total * power(F.col("__i")) if block > 1 else F.col("__a"))
+    rows_ = rows_.withColumn("__s", total * power(F.col("__i")) if block > 1 else F.col("__a"))
     in_order = by_key.orderBy("__b", "__k")  # null values, and rows before the seed, come first
-    rows = rows.withColumn("__y", F.when(F.col("__a").isNotNull() & (F.col("__i") == block - 1), F.col("__s")))
+    rows_ = rows_.withColumn("__y", F.when(F.col("__a").isNotNull() & (F.col("__i") == block - 1), F.col("__s")))
     step = block
     while d > 0 and d**step > NOTHING and step < 1 << 30:
-        rows = rows.withColumn("__y", F.col("__y") + F.coalesce(F.lag("__y", step).over(in_order), F.lit(0.0)) * d**step)
+        rows_ = rows_.withColumn("__y", F.col("__y") + F.coalesce(F.lag("__y", step).over(in_order), F.lit(0.0)) * d**step)
         step *= 2
     carry = F.coalesce(F.last("__y", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    rows = rows.withColumn(out, F.when(F.col("__a").isNotNull(), F.col("__s") + carry * power(F.col("__i") + 1)))
-    return rows.withColumn(out, F.last(out, ignorenulls=True).over(sofar)).drop("__k", "__a", "__b", "__i", "__s", "__y")
+    rows_ = rows_.withColumn(out, F.when(F.col("__a").isNotNull(), F.col("__s") + carry * power(F.col("__i") + 1)))
+    if rows is not None:
+        rows_ = matched(rows_, _carries(rows_, key, out, d), groups, "left")
+        rows_ = rows_.withColumn(out, F.col(out) + F.coalesce("__in", F.lit(0.0)) * power((local + 1).cast("double")))
+    filled = F.last(out, ignorenulls=True).over(sofar)
+    rows_ = rows_.withColumn(out, filled if rows is None else F.coalesce(filled, "__in"))
+    return rows_.drop("__k", "__a", "__b", "__i", "__s", "__y", "__range", "__before", "__first", "__in")
+
+
+def _carries(scanned: DataFrame, key: str, out: str, d: float) -> DataFrame:
+    """(key, __range, __in): y at the end of the range before, null where the recurrence hasn't begun.  A key's ranges, one row each, are folded in order."""
+    ends = scanned.groupBy(key, "__range").agg(F.count("__a").alias("n"), F.max_by(out, F.when(F.col("__a").isNotNull(), F.col("__k"))).alias("y"))
+    listed = ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("__range").alias("r"), "n", "y"))).alias("ends"))
+    nothing = F.struct(F.lit(None).cast("double").alias("y"), F.array().cast("array<struct<r:bigint,y:double>>").alias("got"))
+    end = lambda s, e: F.when(e["n"] == 0, s["y"]).otherwise(e["y"] + F.coalesce(s["y"], F.lit(0.0)) * F.pow(F.lit(d), e["n"].cast("double")))
+    folded = F.aggregate("ends", nothing, lambda s, e: F.struct(end(s, e).alias("y"), F.concat(s["got"], F.array(F.struct(e["r"].alias("r"), s["y"].alias("y")))).alias("got")), lambda s: s["got"])
+    return listed.select(key, F.explode(folded).alias("g")).select(key, F.col("g.r").alias("__range"), F.col("g.y").alias("__in"))
 
 
 def keep_columns(df: DataFrame, like: DataFrame, extra: Sequence[str]) -> DataFrame:

@@ -4,28 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.industry import with_defaults
-from .joins import asof_join, small, with_membership
+from .joins import asof_join, with_membership
+from .kernels import GROUP_ROWS, apply_kernel, count_below
+from .ranges import small
 
 METRICS = ("pe_ttm", "pb", "ps_ttm")
 
 
-def rolling_percentile_of(metric: str, window: int, min_rows: int = 20) -> Column:
-    """Share (in percent) of the positive values of the last ``window`` rows that lie below the current one."""
-    w = Window.partitionBy("symbol").orderBy("time").rowsBetween(-(window - 1), 0)
-    x = F.col(metric).cast("double")
-    positive = F.collect_list(F.when(x > 0, x)).over(w)
-    share = F.size(F.filter(positive, lambda v: v < x)) / F.size(positive) * 100
-    return F.when((x > 0) & (F.count(x).over(w) >= min_rows) & (F.size(positive) >= 2), share)
-
-
-def rolling_percentile(df: DataFrame, metrics: Sequence[str] = METRICS, windows: Sequence[int] = (1250,), min_rows: int = 20) -> DataFrame:
-    """Adds {metric}_pct_{window}d for each metric and window; all share one sort."""
-    return df.withColumns({f"{m}_pct_{n}d": rolling_percentile_of(m, n, min_rows) for m in metrics if m in df.columns for n in windows})
+def percentile_in_window(x: np.ndarray, known: np.ndarray, window: int, min_rows: int) -> np.ndarray:
+    """Of each value that is positive: the share (in percent) of the positive values of the last ``window`` rows that lie below it.
+
+    NaN where there are fewer than ``min_rows`` known or 2 positive values; a known NaN is positive and above all.
+    """
+    n = np.arange(len(x))
+    first = np.maximum(n - window + 1, 0)
+    positive = known & ((x > 0) | np.isnan(x))
+    seen, counted = (np.concatenate([[0], np.cumsum(m)]) for m in (known, positive))
+    at = np.flatnonzero(positive)
+    below = count_below(x[at], counted[first[at]])
+    out = np.full(len(x), np.nan)
+    size, rows = counted[at + 1] - counted[first[at]], seen[at + 1] - seen[first[at]]
+    enough = (size >= 2) & (rows >= min_rows)
+    out[at[enough]] = below[enough] / size[enough] * 100
+    return out
+
+
+def rolling_percentile(df: DataFrame, metrics: Sequence[str] = METRICS, windows: Sequence[int] = (1250,), min_rows: int = 20, rows: int = GROUP_ROWS) -> DataFrame:
+    """Adds {metric}_pct_{window}d for each metric and window, all in one pass over each symbol's rows.
+
+    Order statistics come from ``count_below``, whose cost doesn't depend on the window; a symbol of over ``rows`` rows is cut with the window's overlap.
+    """
+    names = {f"{m}_pct_{n}d": (m, n) for m in metrics if m in df.columns for n in windows}
+    if not names:
+        return df
+
+    def kernel(table):
+        columns = {m: pc.cast(table.column(m), "float64").combine_chunks() for m, _ in names.values()}
+        known = {m: ~np.asarray(c.is_null()) for m, c in columns.items()}
+        x = {m: c.fill_null(0.0).to_numpy(zero_copy_only=False) for m, c in columns.items()}
+        return {name: percentile_in_window(x[m], known[m], n, min_rows) for name, (m, n) in names.items()}
+
+    return apply_kernel(df, kernel, ", ".join(f"{c} double" for c in names), warmup=max(windows) - 1, rows=max(rows, max(windows))).select(*[c for c in df.columns if c not in names], *names)
 
 
 def current_percentile(df: DataFrame, metric: str, window: int = 250) -> DataFrame:

@@ -1,13 +1,18 @@
-"""Registered queries of streams over several batches, of stored order, versions and landing runs."""
+"""Registered queries of streams over several batches, stored order, versions, landing runs, long keys, kernels and gaps of minutes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import tables
+from ..functions import calendar
+from ..operators import indicators as ind
+from ..operators import joins, valuation
+from ..operators.scan import affine_scan
+from ..sources import landing, tables
 from ..streaming import tape, ticks
 from . import catalog as c
+from . import incremental
 from .catalog_jobs import session
 
 # --- ticks that arrive in four files: some come two files late, some are repeated in their file and in the next one ------------
@@ -160,3 +165,159 @@ def k1_write_stamped(fx):
 @c.query(f"SELECT symbol, time, round(CASE WHEN symbol = 4 THEN close * 2 ELSE close END, 6) AS close, {_NEWER} AS is_stamped FROM fx_bars WHERE symbol <> 4 OR year(time) = 1997")
 def k2_write_stamped(fx):
     return _stamped(fx, "first")
+
+
+# --- landing run by run ---------------------------------------------------------------------------------------------------------------
+
+_LANDED = """raw AS (SELECT symbol, time, close, CAST(symbol % 2 AS INT) AS run, (symbol * 31 + day(time)) % 11 = 0 AS broken, (symbol * 31 + day(time)) % 13 = 0 AS undated, day(time) = 7 AS twice FROM fx_bars),
+record AS (SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE twice)"""
+
+
+def _landed(fx) -> tuple[SparkSession, str]:
+    """Two runs over one folder: even symbols' files lie there first, odd ones' come later; some lines are cut off, some have no date, some come twice."""
+    spark = session(fx)
+    folder, target = tables.scratch(spark, "landing"), tables.scratch(spark, "daily")
+    b = fx("fx_bars").withColumn("k", F.col("symbol") * 31 + F.dayofmonth("time"))
+    stamp = F.when(F.col("k") % 13 == 0, "never").otherwise(F.date_format("time", "yyyyMMdd"))
+    line = F.to_json(F.struct(F.col("symbol").cast("string").alias("ts_code"), stamp.alias("trade_date"), F.col("close").cast("string").alias("close")))
+    cut = F.concat(F.lit('{"ts_code":"'), F.col("symbol").cast("string"), F.lit('","trade_date":"'), F.date_format("time", "yyyyMMdd"))
+    lines = b.select("symbol", F.when(F.col("k") % 11 == 0, cut).otherwise(line).alias("value"), (F.dayofmonth("time") == 7).alias("twice"))
+    lines = lines.unionByName(lines.where("twice"))
+    for odd in (0, 1):
+        lines.where(F.col("symbol") % 2 == odd).select("value").repartition(2).write.mode("append").text(folder)
+        landing.land_new(spark, folder, "daily", target)
+    return spark, target
+
+
+@c.query("SELECT CAST(symbol AS VARCHAR) AS symbol, time, round(close, 6) AS close FROM raw WHERE NOT broken AND NOT undated", False, _LANDED)
+def s1_landing_rows(fx):
+    spark, target = _landed(fx)
+    return c.rounded(tables.read(spark, target), "close").select("symbol", F.col("time").cast("timestamp_ntz").alias("time"), "close")
+
+
+@c.query(
+    """SELECT run AS batch, 2 AS n_files, count(*) AS n_records, count(*) FILTER (NOT broken AND NOT undated) AS n_rows, count(*) FILTER (broken OR undated) AS n_rejects,
+count(*) FILTER (NOT broken AND NOT undated) - (SELECT count(*) FROM raw x WHERE x.run = r.run AND NOT broken AND NOT undated) AS n_repeated FROM record r GROUP BY run""",
+    False,
+    _LANDED,
+)
+def s1_landing_runs(fx):
+    """The second run reads the second files alone, and rows and rejects make up the records."""
+    return landing.runs(*_landed(fx)).select("batch", "n_files", "n_records", "n_rows", "n_rejects", "n_repeated")
+
+
+@c.query("SELECT run AS batch, CASE WHEN broken THEN 'can''t be parsed' ELSE 'no time' END AS reason, CAST(symbol AS VARCHAR) AS symbol, count(*) AS n FROM record WHERE broken OR undated GROUP BY 1, 2, 3", False, _LANDED)
+def s1_landing_rejects(fx):
+    r = landing.rejects(*_landed(fx))
+    return r.groupBy("batch", "reason", F.regexp_extract("record", '"ts_code":"([0-9]+)"', 1).alias("symbol")).agg(F.count("*").alias("n"))
+
+
+# --- long keys, kernels, gaps ---------------------------------------------------------------------------------------------------------
+
+_HOT = "hot AS (SELECT CASE WHEN symbol % 2 = 0 THEN 0 ELSE symbol END AS symbol, CAST(time AS TIMESTAMP) + to_seconds(symbol) AS time, close FROM fx_bars)"
+
+
+def _hot(fx) -> DataFrame:
+    """Bars of which one symbol has half."""
+    at = F.timestamp_add("SECOND", F.col("symbol").cast("int"), F.col("time").cast("timestamp"))
+    return fx("fx_bars").select(F.when(F.col("symbol") % 2 == 0, 0).otherwise(F.col("symbol")).cast("long").alias("symbol"), at.alias("time"), "close")
+
+
+def _read(df: DataFrame) -> DataFrame:
+    return df.withColumn("time", F.col("time").cast("timestamp_ntz"))
+
+
+@c.query(
+    "SELECT q.symbol, q.time, round(g.netprofit_yoy, 6) AS netprofit_yoy, g.end_date AS period FROM hot q ASOF LEFT JOIN (SELECT symbol, ann_date, max(end_date) AS end_date, arg_max(netprofit_yoy, end_date) AS netprofit_yoy "
+    "FROM (SELECT CASE WHEN symbol % 2 = 0 THEN 0 ELSE symbol END AS symbol, ann_date + to_seconds(symbol) AS ann_date, end_date, netprofit_yoy FROM fx_growth WHERE netprofit_yoy IS NOT NULL) GROUP BY 1, 2) g ON q.symbol = g.symbol AND q.time >= g.ann_date",
+    False,
+    _HOT,
+)
+def j2_asof_ranges(fx):
+    """Half of all rows of one symbol, read by a task for each 500 rows."""
+    g = fx("fx_growth").where("netprofit_yoy IS NOT NULL")
+    right = g.select(F.when(F.col("symbol") % 2 == 0, 0).otherwise(F.col("symbol")).cast("long").alias("symbol"), F.timestamp_add("SECOND", F.col("symbol").cast("int"), F.col("ann_date").cast("timestamp")).alias("ann_date"), F.col("end_date").alias("period"), "netprofit_yoy")
+    out = joins.asof_join(_hot(fx), right, "time", "ann_date", ["symbol"], tie=["period"], rows=500)
+    return _read(c.rounded(out, "netprofit_yoy")).select("symbol", "time", "netprofit_yoy", "period")
+
+
+@c.query(
+    "SELECT symbol, time, round(list_sum(list_transform(range(len(l)), lambda i: l[i + 1] * 0.5 ** (len(l) - 1 - i) * CASE WHEN i = 0 AND n <= 80 THEN 1 ELSE 0.5 END)), 6) AS y "
+    "FROM (SELECT symbol, time, list(close) OVER w AS l, row_number() OVER (PARTITION BY symbol ORDER BY time) AS n FROM hot WINDOW w AS (PARTITION BY symbol ORDER BY time ROWS 79 PRECEDING))",
+    False,
+    _HOT,
+)
+def r1_scan_ranges(fx):
+    """A recurrence over a symbol with half of all rows, in two phases."""
+    return _read(c.rounded(affine_scan(_hot(fx), "close", 0.5, "y", rows=500), "y")).select("symbol", "time", "y")
+
+
+@c.query(
+    f"SELECT symbol, time, CASE WHEN n >= 200 THEN {c.sc('100.0 * list_sum(list_transform(l, lambda v: CASE WHEN v < close THEN 1 ELSE 0 END)) / len(l)')} END AS close_pct_300d "
+    "FROM (SELECT symbol, time, close, list(close) OVER w AS l, count(*) OVER w AS n FROM hot WINDOW w AS (PARTITION BY symbol ORDER BY time ROWS 299 PRECEDING))",
+    False,
+    _HOT,
+)
+def v1_percentile_ranges(fx):
+    """A sliding percentile of a symbol with half of all rows, cut with overlap."""
+    out = valuation.rolling_percentile(_hot(fx), ["close"], [300], min_rows=200, rows=1000)
+    return _read(c.rounded(out, "close_pct_300d")).select("symbol", "time", "close_pct_300d")
+
+
+@c.query("SELECT symbol, time, CASE WHEN count(*) OVER w = 10 THEN round(list_sum(list_transform(range(10), lambda i: (list(close) OVER w)[i + 1] * (i + 1))) / 55, 6) END AS wma_10 FROM hot WINDOW w AS (PARTITION BY symbol ORDER BY time ROWS 9 PRECEDING)", False, _HOT)
+def y2_kernel(fx):
+    """A user's kernel in pandas: the mean of ten closes by linear weights."""
+
+    def wma(frame):
+        import numpy as np
+
+        x, weights = frame["close"].to_numpy(), np.arange(1, 11)
+        y = np.full(len(x), np.nan)
+        if len(x) >= 10:
+            y[9:] = np.lib.stride_tricks.sliding_window_view(x, 10) @ weights / weights.sum()
+        return frame.assign(wma_10=y)
+
+    ind.register_indicator("wma_10", lambda: ind.Kernel("wma_10", "wma_10 double", wma, warmup=10, rows=1000))
+    try:
+        out = ind.apply_batch(_hot(fx), ["wma_10"])
+    finally:
+        del ind.REGISTRY["wma_10"]
+    return _read(c.rounded(out, "wma_10")).select("symbol", "time", "wma_10")
+
+
+_MARKET = "CASE symbol % 4 WHEN 0 THEN 'CN' WHEN 1 THEN 'HK' WHEN 2 THEN 'US' ELSE 'JP' END"
+_MINUTES = f"""sy AS (SELECT DISTINCT symbol, {_MARKET} AS market FROM fx_ticks),
+zone AS (SELECT * FROM (VALUES ('CN', 8, 570, 690), ('CN', 8, 780, 900), ('HK', 8, 570, 720), ('HK', 8, 780, 960), ('US', -5, 570, 960), ('JP', 9, 540, 690), ('JP', 9, 750, 900)) v(market, hours, a, b)),
+od AS (SELECT DISTINCT market, CAST(time AS DATE) AS day FROM fx_ticks, (SELECT DISTINCT market FROM zone) WHERE isodow(time) < 6 AND (day(time) + ord(market)) % 9 <> 0),
+expected AS (SELECT symbol, CAST(day AS TIMESTAMP) + to_minutes(CAST(m AS INT)) - to_hours(hours) AS minute FROM sy JOIN zone USING (market) JOIN od USING (market), range(1440) r(m) WHERE m BETWEEN a AND b),
+lacking AS (SELECT symbol, minute, k - row_number() OVER (PARTITION BY symbol ORDER BY minute) AS island FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY minute) AS k FROM expected)
+  WHERE (symbol, minute) NOT IN (SELECT (symbol, date_trunc('minute', time)) FROM fx_ticks))"""
+
+
+@c.query("SELECT symbol, min(minute) AS fetch_from, max(minute) AS fetch_to, count(*) AS n_minutes FROM lacking GROUP BY symbol, island", False, _MINUTES)
+def i7_minute_gaps(fx):
+    """Minutes of four markets' sessions on open days without a tick, a row for each run of them."""
+    t = fx("fx_ticks").withColumn("time", F.col("time").cast("timestamp"))
+    market = F.when(F.col("symbol") % 4 == 0, "CN").when(F.col("symbol") % 4 == 1, "HK").when(F.col("symbol") % 4 == 2, "US").otherwise("JP")
+    days = t.where(F.weekday("time") < 5).select(F.to_date("time").alias("day")).distinct().select("day", F.explode(F.array(*[F.lit(m) for m in ("CN", "HK", "US", "JP")])).alias("market"))
+    out = incremental.minute_gaps(t.select("symbol", market.alias("market")).distinct(), t, days.where((F.dayofmonth("day") + F.ascii("market")) % 9 != 0))
+    return out.withColumns({k: F.col(k).cast("timestamp_ntz") for k in ("fetch_from", "fetch_to")})
+
+
+def _in_session(hours: int, *sessions: tuple[int, int]) -> str:
+    local = f"(time + INTERVAL ({hours}) HOUR)"
+    inside = " OR ".join(f"hour{local} * 60 + minute{local} BETWEEN {a} AND {b}" for a, b in sessions)
+    return f"isodow{local} < 6 AND ({inside})"
+
+
+@c.query(f"SELECT event_id, CAST(time + INTERVAL 8 HOUR AS DATE) = CAST(time + INTERVAL 11 HOUR AS DATE) AND {_in_session(11, (570, 690), (780, 900))} AS daily_overwrite FROM fx_ticks")
+def i8_overwrite_daily(fx):
+    """Whether today's row is still being formed three hours after a tick."""
+    t = fx("fx_ticks").withColumn("time", F.col("time").cast("timestamp"))
+    return t.select("event_id", incremental.overwrite_latest(F.col("time"), F.col("time") + F.expr("INTERVAL 3 HOURS"), "daily").alias("daily_overwrite"))
+
+
+@c.query(f"SELECT event_id, {_in_session(8, (570, 690), (780, 900))} AS cn, {_in_session(8, (570, 720), (780, 960))} AS hk, {_in_session(-5, (570, 960))} AS us, {_in_session(9, (540, 690), (750, 900))} AS jp FROM fx_ticks")
+def t10_markets(fx):
+    t = fx("fx_ticks").withColumn("time", F.col("time").cast("timestamp"))
+    return t.select("event_id", *[calendar.is_trading_time(F.col("time"), m).alias(m.lower()) for m in ("CN", "HK", "US", "JP")])

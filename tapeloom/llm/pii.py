@@ -29,9 +29,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 6
-#: Kinds in the order of their alternatives; each pattern is a possible occurrence, validated afterwards.
+#: Kinds in the order of their alternatives; each pattern is a possible occurrence, validated afterwards.  Every repetition of a group is bounded, as the
+#: JVM matches it by recursion (253 characters after an @ are 126 labels at most).
 PATTERNS = {
-    "mail": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "mail": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,125}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![0-9.,/+-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4})(?![0-9]|[.,/-][0-9])",
     "address": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
@@ -191,9 +192,13 @@ def padded(n: Column, width: int) -> Column:
     return F.lpad(n.cast("long").cast("string"), width, "0")
 
 
+#: Assigned country codes of one and two digits; all others have three.
+COUNTRY_CODE = r"^\+(?:1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}|[0-9]{1,3})"
+
+
 def phone(m: Column, key: str, back: bool) -> Column:
-    code = F.regexp_extract(m, r"^\+[0-9]{1,3}(?=[ .(-])", 0)
-    code = F.when((code == "") & m.startswith("+"), F.substr(m, F.lit(1), F.lit(2))).otherwise(code)
+    """A number is the same with and without separators after its country code, so its pseudonym is too."""
+    code = F.regexp_extract(m, COUNTRY_CODE, 0)
 
     def north_american(d: Column) -> Column:
         def low(at: int) -> Column:  # the least value of the three digits from there, by their first

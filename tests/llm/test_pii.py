@@ -122,3 +122,25 @@ def test_hard_rows_and_plan(spark):
     assert pii.pseudonymise(empty(spark), "k").count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_number_is_linked_however_it_is_written(spark):
+    texts = ["+442071234567", "+44 20 7123 4567", "+44-20-7123-4567", "+4930123456", "+49 30 123456", "+15551234567", "+1 555 123 4567", "+353 1 234 5678", "+35312345678", "+21 234 5678"]
+    hidden = run(spark, list(enumerate(texts)))
+    digits = [re.sub(r"[^0-9]", "", h) for h in hidden]
+    assert digits[0] == digits[1] == digits[2] != "442071234567" and digits[0].startswith("44")
+    assert digits[3] == digits[4] and digits[3].startswith("49") and digits[5] == digits[6] and digits[5][0] == "1" and digits[7] == digits[8] and digits[7].startswith("353")
+    assert [re.sub("[0-9]", "0", h) for h in hidden] == [re.sub("[0-9]", "0", t) for t in texts]
+    assert run(spark, list(enumerate(hidden)), back=True) == texts
+
+
+def test_very_long_texts_of_each_patterns_repeated_part(spark):
+    """A megabyte each; none may exhaust the stack, and what stands before and after is still found."""
+    card = "4387513035237269"
+    parts = ["a.", "x@a.", "@", "a" * 64 + "@", "AB12", " A1B2", "AB12 3456", "1", "12-", "1.", "1.2.3.4", "1/", "01.01.", "+", "+1 ", " 1", "-1", "(1)", "123-", "123-45-", "4444 ", "4444-", "0000-00-", "é", "x@" + "b-." * 10]
+    texts = [f"{card} {lead}{part * (1_000_000 // len(part))} {card}" for part in parts for lead in ("x@",)]
+    hidden = run(spark, list(enumerate(texts)))
+    new = run(spark, [(0, card)])[0]
+    assert all(h.startswith(new) and h.endswith(new) and card not in (h[:20], h[-20:]) for h in hidden)
+    long = "a@" + "b." * 120 + "com"
+    assert run(spark, [(0, long)])[0].endswith("@" + "b." * 120 + "com") and run(spark, [(0, long)])[0] != long

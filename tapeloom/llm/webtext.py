@@ -2,7 +2,8 @@
 
 1. Each page's containers are scored: a block of text counts, without its linked characters, for the container that
    holds it and half for the next one out; menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-   reader comments don't count.  The best container is lifted to the outermost ancestor whose further text is main text too (see ``lifted``), so that a
+   reader comments don't count.  They are known by their elements, or by names all of whose words say so; a name doesn't count where it would take the main heading with most of
+   the page's text, or all text.  The best container is lifted to the outermost ancestor whose further text is main text too (see ``lifted``), so that a
    heading and lead beside sections stay with them, and votes for its path of tags and classes, numbers in classes generalised.
 2. Votes are summed by host and path in Spark, combined before the shuffle; a host's paths of at least
    ``share`` of its votes win, up to ``paths`` of them (only a page in which none of them occurs falls back, see 3).
@@ -52,19 +53,32 @@ UNWANTED = frozenset(
     "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer form gdpr header masthead menu modal nav navbar navigation newsletter notice notices notification popup promo promoted promotion related respond replies search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
 
+#: Words that only say where such a part is or what kind of box it is.  A name is unwanted if all its words are of these two lists: cookie-banner and site-header, not with-sidebar, related-work or share-price.
+PLACES = frozenset("site page main global primary secondary top bottom left right upper lower mobile desktop sticky fixed floating post article blog entry area block box bar list section container wrapper wrap inner outer panel item items links link icons buttons button col column row group holder js".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 #: Characters from which a block outside articles is taken for prose.
 PROSE = 80
 
 
+#: Excluded by name alone.
+DOUBTED = "by name"
+
+
 class Node:
     """An element: ``path`` stands for its tags and classes from the root, ``holder`` is the container around it, ``inside`` says that it is or lies in an article or main element.
 
-    ``barrier`` is the place in the stack of the innermost element that implied closing can't pass.  ``sums``: of the text held below it, see ``weighed``."""
+    ``barrier`` is the place in the stack of the innermost element that implied closing can't pass.  ``sums``: of the text held below it, see ``weighed``.
+
+    ``doubt`` is the innermost element around it, or itself, that is excluded by its name alone; that one has a ``number``, the unlinked ``chars`` in it, and whether it is ``titled``, that is holds a main heading."""
 
-    __slots__ = ("tag", "parent", "path", "excluded", "link", "holder", "inside", "barrier", "sums")
+    __slots__ = ("tag", "parent", "path", "excluded", "link", "holder", "inside", "barrier", "sums", "heading", "doubt", "number", "chars", "titled")
 
     def __init__(self, tag: str, parent: Node | None, name: str, excluded: bool, link: bool, place: int):
         self.tag, self.parent, self.excluded, self.link = tag, parent, excluded, link
+        self.heading = tag in HEADINGS or parent is not None and parent.heading
+        self.doubt = parent.doubt if parent is not None else None
+        self.number, self.chars, self.titled = 0, 0, False
         self.holder = self if parent is None or tag in CONTAINERS else parent.holder
         self.path = "" if parent is None else xxhash.xxh3_128_hexdigest(f"{parent.path}/{name}".encode("utf-8", "surrogatepass"))
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
@@ -78,14 +92,31 @@ class Page:
 
     def __init__(self, html: str):
         self.blocks: list[tuple[str, Node, int]] = []
-        self.nodes = [Node("", None, "", False, False, 0)]
-        self._read(html)
+        wrong: frozenset[int] = frozenset()
+        for again in (False, True):
+            self.blocks, self.headings, self.doubts = [], [], []
+            self.nodes = [Node("", None, "", False, False, 0)]
+            self._read(html, wrong)
+            wrong = self._wrongly_excluded()
+            if again or not wrong:
+                break
+        self.short: dict[str, int] = {}
         self.sums = self._weighed()
 
-    def _read(self, html: str) -> None:
+    def _wrongly_excluded(self) -> frozenset[int]:
+        """Elements whose name excludes them, but that hold a main heading and most of the page's text, so are around the article; or all, where nothing else has text."""
+        for node in reversed(self.doubts):
+            outer = node.parent.doubt
+            if outer is not None:
+                outer.chars += node.chars
+                outer.titled |= node.titled
+        total = sum(len(text) - linked for text, _, linked in self.blocks) + sum(d.chars for d in self.doubts if d.parent.doubt is None)
+        return frozenset(d.number for d in self.doubts if not self.blocks or d.titled and 2 * d.chars > total)
+
+    def _read(self, html: str, wrong: frozenset[int]) -> None:
         stack, out, parts = [self.nodes[0]], self.blocks, []
         places: dict[str, list[int]] = {}  # of each tag, where it is open in the stack
-        linked, owner = 0, stack[0]
+        linked, owner, heading, named_so = 0, stack[0], False, 0
 
         def flush() -> None:
             nonlocal linked
@@ -93,18 +124,21 @@ class Page:
                 text = " ".join("".join(parts).split())
                 if text:
                     out.append((text, owner, min(linked, len(text))))
+                    self.headings.append(heading)
                 parts.clear()
             linked = 0
 
         def add(raw: str) -> None:
-            nonlocal linked, owner
+            nonlocal linked, owner, heading
             top = stack[-1]
+            if top.doubt is not None and not top.link and top.doubt.excluded is DOUBTED:
+                top.doubt.chars += len(" ".join(raw.split()))
             if not top.excluded:
                 text = unescape(raw) if "&" in raw else raw
                 if not parts:
                     if not text.strip():
                         return
-                    owner = top.holder
+                    owner, heading = top.holder, top.heading
                 parts.append(text)
                 if top.link:
                     linked += len(text)
@@ -141,18 +175,33 @@ class Page:
             top = stack[-1]
             if not m[4].endswith("/") or tag in BLOCKS:
                 places.setdefault(tag, []).append(len(stack))
-                stack.append(Node(tag, top, name, top.excluded or unwanted or tag in EXCLUDED, top.link or tag == "a", len(stack)))
-                self.nodes.append(stack[-1])
+                named_so += unwanted
+                doubted = unwanted and tag not in EXCLUDED and top.excluded is not True and named_so not in wrong
+                node = Node(tag, top, name, True if tag in EXCLUDED or top.excluded is True else DOUBTED if doubted else top.excluded, top.link or tag == "a", len(stack))
+                if doubted:
+                    node.doubt, node.number = node, named_so
+                    self.doubts.append(node)
+                elif node.excluded is True:
+                    node.doubt = None
+                elif tag in ("h1", "main") and node.doubt is not None:
+                    node.doubt.titled = True
+                stack.append(node)
+                self.nodes.append(node)
         if at < len(html):
             add(html[at:])
         flush()
 
     def _weighed(self) -> dict[str, list[int]]:
         """By path, over its elements' blocks: characters; characters not linked; and the main text less the other text, as an article counts it and as the rest of a page does:
-        in an article or main element every block counts as main text unless most of it is linked, elsewhere only one of at least ``PROSE`` characters does."""
-        for text, holder, linked in self.blocks:
+        in an article or main element every block counts as main text unless most of it is linked, elsewhere only a heading or one of at least ``PROSE`` characters does, or all where none is so
+        long.  ``short``: by path, twice the characters of its own other blocks, which count as main text for the container they lie in directly, but not for those around it."""
+        prose = any(len(text) >= PROSE and 2 * linked <= len(text) for text, _, linked in self.blocks)
+        for (text, holder, linked), heading in zip(self.blocks, self.headings):
             n, mostly = len(text), 2 * linked <= len(text)
-            more = n, n - linked, n - linked if mostly else -n, n - linked if mostly and n >= PROSE else -n
+            long = n >= PROSE or heading or not prose
+            if mostly and not long:
+                self.short[holder.path] = self.short.get(holder.path, 0) + 2 * n - linked
+            more = n, n - linked, n - linked if mostly else -n, n - linked if mostly and long else -n
             holder.sums = [a + b for a, b in zip(holder.sums or (0, 0, 0, 0), more)]
         out: dict[str, list[int]] = {}
         for node in reversed(self.nodes):
@@ -170,13 +219,20 @@ class Page:
                 inside.add(id(node))
         return [text for text, holder, _ in self.blocks if id(holder) in inside]
 
+
+def is_unwanted(name: str) -> bool:
+    words = [w for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower()) if len(w) > 1]
+    return any(w in UNWANTED for w in words) and all(w in UNWANTED or w in PLACES for w in words)
+
+
 def named(tag: str, attributes: str) -> tuple[str, bool]:
     """A tag with its generalised classes, and whether its names say that it isn't main text."""
     classes, unwanted = "", False
     for m in CLASS.finditer(attributes) if attributes else ():
-        value = unescape(m[2] or m[3] or m[4] or "").lower()
+        value = unescape(m[2] or m[3] or m[4] or "")
         if tag not in ("html", "body", "article", "main"):
-            unwanted |= not UNWANTED.isdisjoint(re.split(r"[^a-z]+", value)) or value in ("complementary", "contentinfo")
+            unwanted |= any(map(is_unwanted, value.split())) or value.lower() in ("complementary", "contentinfo")
+        value = value.lower()
         if m[1].lower() == "class":
             classes = "".join(sorted({"." + re.sub(r"\d+", "#", c) for c in value.split()}))
     return tag + classes, unwanted
@@ -202,7 +258,7 @@ def lifted(page: Page, path: str) -> str:
     node = next(n for n in page.nodes if n.path == path).parent
     while node is not None:
         kind = 2 if node.inside else 3
-        if page.sums[node.path][kind] > page.sums[path][kind]:
+        if page.sums[node.path][kind] + (0 if node.inside else page.short.get(node.path, 0)) > page.sums[path][kind]:
             path = node.path
         node = node.parent
     return path

@@ -50,6 +50,39 @@ def test_headings_and_leads_beside_sections_stay():
     assert got[0].startswith("Lead:") and len(got) == 4
 
 
+STORY = "A sentence of the story that is long enough to be taken for prose by anybody who reads it. "
+
+
+def read(body):
+    return webtext.text_at(webtext.Page(f"<html><body>{body}</body></html>"), []).split("\n")
+
+
+def test_names_of_wrappers_and_topics_do_not_exclude():
+    for name in ("page with-sidebar", "content no-sidebar", "has-banner", "layout--sidebar-left no-comments", "related-work", "share-price", "notice-of-motion text"):
+        assert read(f'<div class="{name}"><h1>Title</h1><p>{STORY}</p></div>') == ["Title", STORY.strip()], name
+        assert read(f'<article><h1>Title</h1><p>{STORY}</p><div class="{name}"><p>Short.</p></div></article>') == ["Title", STORY.strip(), "Short."], name
+    for name in ("cookie-banner", "cookieBanner", "site-header", "main-nav", "left-sidebar", "comments", "post-comments", "ad-300x250", "share_buttons", "newsletter-signup-box"):
+        assert read(f'<div class="{name}"><p>{STORY * 3}</p></div><div class=story><h1>Title</h1><p>{STORY}</p></div>') == ["Title", STORY.strip()], name
+
+
+def test_a_name_never_takes_the_article_or_all_text():
+    assert read(f'<div class="sidebar"><h1>Title</h1><p>{STORY * 3}</p><div class=comments><p>{STORY}</p></div></div><p>Short.</p>')[:2] == ["Title", (STORY * 3).strip()]
+    assert read(f"<div class=widget><p>{STORY}</p></div>") == [STORY.strip()]
+    assert read(f"<div class=site-header><h1>Site</h1></div><div><p>{STORY}</p></div>") == [STORY.strip()]
+    assert read(f"<nav><h1>Menu</h1>{STORY * 9}</nav><p>Text.</p>") == ["Text."]
+
+
+def test_headings_and_short_blocks_beside_the_story_stay():
+    assert read(f"<h1>Title</h1><div class=story><p>{STORY}</p></div>") == ["Title", STORY.strip()]
+    assert read(f"<h1>Title</h1><p>By somebody</p><div class=story><p>{STORY}</p></div>") == ["Title", "By somebody", STORY.strip()]
+    assert read("<div>First line.</div><div>Second line, which is longer.</div><div>Third.</div>") == ["First line.", "Second line, which is longer.", "Third."]
+    poem = [f"line {k} of a poem" for k in range(12)]
+    assert read("<h2>Poem</h2><div class=poem>" + "".join(f"<div>{x}</div>" for x in poem) + "</div>") == ["Poem", *poem]
+    cells = [f"cell {k}" for k in range(9)]
+    table = "<table>" + "".join("<tr>" + "".join(f"<td>{x}</td>" for x in cells[k : k + 3]) + "</tr>" for k in (0, 3, 6)) + "</table>"
+    assert read(f"<div class=wrap><div class=story><h1>Title</h1><p>{STORY}</p>{table}<p>{STORY}</p></div></div>") == ["Title", STORY.strip(), *cells, STORY.strip()]
+
+
 def test_two_templates_on_one_host(spark):
     def text(k):
         return f"Sentence {k} of the main text of a page. " * 9

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -108,30 +109,31 @@ def cosine_batches(batches: Iterator[pa.RecordBatch], threshold: float) -> Itera
     for batch in batches:
         for at in range(0, batch.num_rows, 4000):
             part = batch.slice(at, 4000)
-            keep = []
-            for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist()):
-                if len(x) != len(y):
-                    keep.append(False)
-                    continue
-                x, y = np.array(x, np.float64), np.array(y, np.float64)
-                x, y = x / np.abs(x).max(), y / np.abs(y).max()
-                keep.append(bool(x @ y / math.sqrt((x @ x) * (y @ y)) >= threshold))
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = np.zeros(part.num_rows, bool)
+            n, m = (pc.list_value_length(part.column(c)).to_numpy(zero_copy_only=False) for c in (2, 3))
+            for d in np.unique(n[n == m]):
+                rows = np.flatnonzero((n == d) & (m == d))
+                x, y = (part.column(c).take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, d) for c in (2, 3))
+                x, y = x / np.abs(x).max(1, keepdims=True), y / np.abs(y).max(1, keepdims=True)
+                dot = np.einsum("ij,ij->i", x, y) / np.sqrt(np.einsum("ij,ij->i", x, x) * np.einsum("ij,ij->i", y, y))
+                keep[rows] = dot >= threshold
+            yield part.select(["a", "b"]).filter(pa.array(keep))
 
 
 def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """Usable vectors, one row for each distinct one of a label: id (the smallest), label, vector, copies."""
+    """Usable vectors, one row for each distinct one of a label: class (a number of its own, as ids may repeat), id (the smallest), label, vector, copies."""
     v = F.col("vector")
     usable = F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0) & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
-    return rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    found = rows.where(usable).groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    return written(found.withColumn("class", F.monotonically_increasing_id()), "classes")
 
 
 def candidates(found: DataFrame, p: Plan, s: Settings) -> DataFrame:
-    """Pairs (a, b) of class ids with at least ``p.least`` collisions, found by window."""
+    """Pairs (a, b) of classes with at least ``p.least`` collisions, found by window."""
     window, seed = s.window, s.seed
     kind = found.schema["label"].dataType.simpleString()
-    rows = found.select("id", "label", "vector").mapInArrow(lambda b: project_batches(b, p, window, seed), f"projection int, label {kind}, cell long, bucket int, value double, id long")
+    rows = found.select(F.col("class").alias("id"), "label", "vector").mapInArrow(lambda b: project_batches(b, p, window, seed), f"projection int, label {kind}, cell long, bucket int, value double, id long")
     rows = rows.withColumn("lower", F.explode(F.array(F.lit(0), F.lit(1))))
     x = rows.where("lower = 0").alias("x")
     y = rows.withColumn("bucket", F.col("bucket") - F.col("lower")).alias("y")
@@ -146,18 +148,22 @@ def find(vectors: DataFrame, settings: Settings = Settings(), id_col: str = "vec
     classes by their smallest ids."""
     s = settings
     shared_dir(vectors.sparkSession)
-    found = written(classes(vectors, id_col, vector_col, label_col), "classes")
+    found = classes(vectors, id_col, vector_col, label_col)
     largest = found.groupBy("label").count().agg(F.max("count")).first()[0] or 1
     p, threshold = plan(largest, s), s.threshold
     pairs = candidates(found, p, s)
-    left, right = found.select(F.col("id").alias("a"), F.col("vector").alias("x")), found.select(F.col("id").alias("b"), F.col("vector").alias("y"))
+    left, right = found.select(F.col("class").alias("a"), F.col("vector").alias("x")), found.select(F.col("class").alias("b"), F.col("vector").alias("y"))
     links = written(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda b: cosine_batches(b, threshold), "a long, b long"), "links")
     both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = found.select(F.col("id").alias("b"), "copies")
-    others = both.join(copies, "b").groupBy(F.col("a").alias("id")).agg(F.sum("copies").alias("others"))
-    per_class = found.select("id", "label", "vector", "copies").join(others, "id", "left").join(components(links).withColumnRenamed("node", "id"), "id", "left")
-    per_class = per_class.select("label", "vector", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    copies = found.select(F.col("class").alias("b"), "copies")
+    others = both.join(copies, "b").groupBy(F.col("a").alias("class")).agg(F.sum("copies").alias("others"))
+    parts = written(components(links).withColumnRenamed("node", "class").join(found.select("class", "id"), "class"), "parts")
+    least = parts.groupBy("component").agg(F.min("id").alias("least_id"))
+    per_class = found.join(others, "class", "left").join(parts.select("class", "component"), "class", "left").join(least, "component", "left")
+    per_class = per_class.select("label", "vector", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("least_id", "id").alias("component_id"))
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector"))
     out = rows.join(per_class, ["label", "vector"], "left")
     out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id")), links
+    smallest = found.select("class", "id")
+    by_id = links.join(smallest.toDF("a", "ida"), "a").join(smallest.toDF("b", "idb"), "b").select(F.least("ida", "idb").alias("a"), F.greatest("ida", "idb").alias("b"))
+    return out.withColumn("kept", F.col("vec_id") == F.col("component_id")), by_id

@@ -154,3 +154,10 @@ def test_embedding_query(spark):
 @pytest.mark.parametrize("name", ["op3_ngram_jaccard", "op4_embedding_neardup"])
 def test_queries_equal_their_sql(spark, name):
     assert differences(spark, queries.queries()[name], queries.oracle_sql()[name], SF) == []
+
+
+def test_vectors_with_repeated_ids_are_counted_apart(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0]), (2, [1.0, 0.01]), (None, [0.0, 1.0])]
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<double>, label string")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in neardup.find(df)[0].collect()), key=repr)
+    assert got == sorted([(1, 2, 1, True), (2, 2, 1, False), (2, 2, 1, False), (1, 2, 1, True), (3, 2, 1, False), (0, 2, 1, None)], key=repr)

@@ -35,7 +35,9 @@ from .common import Numbered, gather, hold, numbers, slices
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Bytes of a word from which on a heap contracts it.
-LONG_WORD = 1000
+LONG_WORD = 256
+#: A query's words: so many at most, and so many squared bytes, as the rows of all its steps grow with these.
+BLOCK_WORDS, BLOCK_SQUARES = 20_000, 4_000_000
 #: Words remembered, and chunks (runs between spaces) remembered; beyond it all of them are forgotten, and met anew.
 HELD_WORDS, HELD_CHUNKS = 900_000, 500_000
 #: Ids of a document that one string of the decoding query holds.
@@ -93,7 +95,7 @@ class WordEncoder:
         import duckdb
 
         self.ranks, self.pattern = read_ranks(path), regex.compile(pattern)
-        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB"})
+        self.db = duckdb.connect(":memory:", config={"threads": "1", "memory_limit": "400MB", "temp_directory": ""})
         pairs = [(a, b, r) for token, r in self.ranks.items() for k in range(1, len(token)) if (a := self.ranks.get(token[:k])) is not None and (b := self.ranks.get(token[k:])) is not None]
         self._table("merges", a=[p[0] for p in pairs], b=[p[1] for p in pairs], rank=[p[2] for p in pairs])
         self._table("vocab", tok=list(self.ranks.values()), hex=[t.hex() for t in self.ranks])
@@ -143,10 +145,15 @@ class WordEncoder:
         self.words.add(found)
         return at
 
-    def _contract(self, raw: list[bytes], found: list[np.ndarray | None], block: int = 20_000) -> None:
-        left = [i for i, f in enumerate(found) if f is None]
-        for at in range(0, len(left), block):
-            part = left[at : at + block]
+    def _contract(self, raw: list[bytes], found: list[np.ndarray | None]) -> None:
+        """Words of like length together, so that they end after a like number of steps."""
+        left = sorted((i for i, f in enumerate(found) if f is None), key=lambda i: len(raw[i]))
+        squares = np.cumsum([len(raw[i]) ** 2 for i in left])
+        block = np.maximum(squares // BLOCK_SQUARES, np.arange(len(left)) // BLOCK_WORDS) if left else np.zeros(0, int)
+        for part in np.split(np.array(left, np.int64), np.flatnonzero(np.diff(block)) + 1):
+            part = part.tolist()
+            if not part:
+                continue
             some = [raw[i] for i in part]
             whole = np.fromiter((self.ranks.get(r, -1) for r in some), np.int64, len(some))
             sizes = np.where(whole >= 0, 1, np.fromiter(map(len, some), np.int64, len(some)))

@@ -157,3 +157,23 @@ def test_words_of_any_length(encoders):
     assert all(len(t) > 50_000 or ids.tolist() == ref.encode_ordinary(t) for t, ids in zip(texts, got))
     short = ["".join(rng.choice(list("abcdehinorst"), 200)) for _ in range(20)]
     assert [own.contract_long(t.encode()) for t in short] == [ref.encode_ordinary(t) for t in short]
+
+
+def test_texts_without_spaces_take_no_longer_than_their_length():
+    import random
+    import resource
+    import time
+
+    import public_tokenizers
+    import tiktoken
+
+    encoder = bpe.WordEncoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    known = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=encoder.ranks, special_tokens={})
+    rng = random.Random(1)
+    word = lambda n: "".join(rng.choice("的是了不在有abcdefghij") for _ in range(n))
+    began, before = time.process_time(), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for n, count in ((140, 1500), (250, 1000), (600, 500), (500_000, 1)):  # middle-sized words, and one without end
+        text = "\n".join(word(n) for _ in range(count))
+        assert next(encoder.encode([text])).tolist() == known.encode_ordinary(text)
+    assert time.process_time() - began < 60 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+    assert encoder.db.sql("SELECT current_setting('temp_directory')").fetchall()[0][0] in ("", None)

@@ -38,12 +38,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where that is unset a temporary one, in local mode only (tests)."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir")
     if not where:
         where = getattr(sc, "_tapeloom_dir", None)
         if not where:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
             where = sc._tapeloom_dir = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(where)

@@ -36,12 +36,18 @@ LETTERS = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows`` and ``language_bytes`` bound the texts a language and their bytes.  Of a text over ``sample_bytes``, or over its
-    fair share of ``language_bytes``, training uses runs of words from all over it, up to that length."""
+    fair share of ``language_bytes``, training uses runs of words from all over it, up to that length.
+
+    ``languages`` bounds the languages that are learned: those with the most tagged documents (ties: first by name).  The model has a column a language for each n-gram of any,
+    so it grows with bytes times languages squared; ``model_bytes`` bounds that product, and with it what the driver holds and broadcasts: beyond ten
+    languages of ``language_bytes`` each learns from less."""
 
     order: int = 4
     sample_rows: int = 400
     sample_bytes: int = 20_000
     language_bytes: int = 3_000_000
+    languages: int = 200
+    model_bytes: int = 300_000_000
     calibration_share: float = 0.25
     quantile: float = 0.995
     margin: float = 0.5
@@ -180,12 +186,14 @@ def train(texts: list[bytes], langs: list[str], settings: Settings = Settings())
 
 
 def fit(docs: DataFrame, settings: Settings = Settings(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """Train on at most ``settings.sample_rows`` tagged texts of each language, the lowest by a hash of the id; long ones by runs of words.
-    Only that sample reaches the driver.  Of documents that share an id, the first by language, then the shortest, counts."""
+    """Train on at most ``settings.sample_rows`` tagged texts of each of at most ``settings.languages``, the lowest by a hash of the id; long ones by runs of words.
+    Only that sample, bounded over all languages, reaches the driver.  Of documents that share an id, the first by language, then the shortest, counts."""
     s = settings
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
     keys = rows.groupBy("id").agg(F.min(F.struct("lang", F.octet_length("text").alias("size"))).alias("x")).select("id", F.col("x.lang").alias("grp"), "x.size")
-    got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.language_bytes, F.col("lang") == F.col("grp"))
+    chosen = [r.grp for r in keys.groupBy("grp").count().orderBy(F.desc("count"), "grp").limit(s.languages).collect()]
+    each = min(s.language_bytes, s.model_bytes // max(1, len(chosen)) ** 2)
+    got = training_sample(keys.where(F.col("grp").isin(chosen)), rows, s.sample_rows, s.sample_bytes, each, F.col("lang") == F.col("grp"))
     got = got.iloc[np.argsort([hash_of(i) for i in got["id"]])] if len(got) else got
     model = train([bytes(t) for t in got["text"]], got["lang"].tolist(), settings)
     del got

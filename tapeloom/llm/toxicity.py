@@ -19,6 +19,7 @@ table scored, so further columns don't matter.
 from __future__ import annotations
 
 import string
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,7 +41,8 @@ class Settings:
     """``sample_rows`` and ``class_bytes`` bound the labelled rows that training uses, and their text, per class.  Of a text over ``sample_bytes``,
     or over its fair share of ``class_bytes``, training uses runs of words from all over it, up to that length.
     Training passes over them ``epochs`` times, more often if that makes fewer than ``least_steps`` updates;
-    each time a text shows each of its words with probability ``keep_words``, so that no single one is learnt by heart."""
+    each time a text shows each of its words with probability ``keep_words``, so that no single one is learnt by heart.
+    Thresholds are calibrated for the ``languages`` most frequent ones of the sample; texts of others count without a language."""
 
     least_documents: int = 3
     dimensions: int = 8
@@ -50,6 +52,7 @@ class Settings:
     sample_rows: int = 4000
     sample_bytes: int = 20_000
     class_bytes: int = 24_000_000
+    languages: int = 32
     epochs: int = 8
     least_steps: int = 800
     batch: int = 32
@@ -271,7 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), id_
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where(F.col("text").isNotNull())
     keys = rows.groupBy("id").agg(F.min(F.octet_length("text")).alias("size")).join(y, "id")
     got = training_sample(keys, rows, s.sample_rows, s.sample_bytes, s.class_bytes)
-    model = train([bytes(t) for t in got["text"]], got["grp"].tolist(), [x if isinstance(x, str) else None for x in got["lang"]], settings)
+    found = Counter(x for x in got["lang"] if isinstance(x, str))
+    usual = set(sorted(found, key=lambda x: (-found[x], x))[: s.languages])
+    model = train([bytes(t) for t in got["text"]], got["grp"].tolist(), [x if x in usual else None for x in got["lang"]], settings)
     del got
     give_back()
     return model

@@ -252,3 +252,17 @@ def test_model_beats_the_base_on_held_out_texts(spark):
     got = queries.op6_bloom_lm(spark, "/root/testdata/sf0.01").where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
     assert got[0] > got[1]
     assert bloomlm.score(empty(spark), F.lit(True)).count() == 0
+
+
+def test_many_languages_keep_the_sample_and_the_model_bounded(spark):
+    """A dirty lang column: every document has a language of its own besides two common ones."""
+    rows = [(k, f"{w} " * 30 + f"x{k}", lang) for k in range(400) for w, lang in [(("alpha beta gamma", "aa"), ("einszwei dreivier", "bb"))[k % 2]]]
+    rows += [(1000 + k, f"odd words of number {k} " * 20, f"l{k:04}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, langid.Settings(languages=20, model_bytes=4_000_000))
+    assert len(model.languages) == 20 and {"aa", "bb", "l0000", "l0017"} <= set(model.languages) and "l0018" not in model.languages
+    assert sum(v.nbytes for _, v in model.grams) < 4_000_000
+    got = langid.predict(docs.where("doc_id < 1000"), model).collect()
+    assert all(r.lang_pred == ("aa", "bb")[r.doc_id % 2] for r in got)
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
+    assert len(toxicity.fit(docs, labels, toxicity.Settings(languages=5, least_steps=20, epochs=1)).languages) <= 5

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranges import cut, matched, small
+from .ranges import BROADCAST_ROWS, cut, matched, small
 
 
 def bars_with_factor(bars: DataFrame, factors: DataFrame) -> DataFrame:
@@ -76,8 +76,13 @@ def industry_dimension(config: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def phase_industries(phases: DataFrame, industries: DataFrame) -> DataFrame:
-    """Every month with every configured industry: the configuration, of a checked size, is collected as one broadcast array and exploded."""
+    """Every month with every configured industry: the smaller table, of at most ``BROADCAST_ROWS`` rows, goes out as one array and is exploded; two larger ones are refused."""
     names = industries.columns
+    if industries.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        if phases.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+            raise ValueError("one of months and industries must be small")
+        months = phases.agg(F.collect_list(F.struct(*phases.columns)).alias("__all"))
+        return industries.join(F.broadcast(months), F.lit(True)).select(*names, F.explode("__all").alias("__m")).select(*[F.col("__m")[c].alias(c) for c in phases.columns], *names)
     listed = industries.agg(F.sort_array(F.collect_list(F.struct("l3_name", *[c for c in names if c != "l3_name"]))).alias("__all"))
     return phases.join(F.broadcast(listed), F.lit(True)).select(*phases.columns, F.explode("__all").alias("__i")).select(*phases.columns, *[F.col("__i")[c].alias(c) for c in names])
 

@@ -36,48 +36,64 @@ _TOKENIZERS: dict[str, tuple] = {}
 
 
 class WordTokens:
-    """Token ids by whitespace-separated word, each distinct word encoded once and remembered up to ``limit`` words.
+    """Token ids by whitespace-separated word, each distinct word encoded once while it is remembered.
 
-    The tokenizer drops white space before it splits, so words between ASCII white space are independent.
+    The tokenizer drops white space before it splits, so words between ASCII white space are independent.  Beyond ``limit`` words only
+    those met again are kept, the half of ``limit`` met most often at most, so words that occur once don't fill the memory.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        self.clear()
-
-    def clear(self) -> None:
         self.index = Numbered()
-        self.flat, self.starts, self.lengths = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+        self.flat, self.starts, self.lengths, self.uses = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
+
+    def forget(self) -> None:
+        """Drop the words met once, and the least met beyond half of ``limit``; what is kept counts half as often from now on."""
+        kept = np.flatnonzero(self.uses > 1)
+        kept = np.sort(kept[np.argsort(-self.uses[kept], kind="stable")[: self.limit // 2]])
+        self.flat = gather(self.flat, self.starts, self.lengths, kept)
+        self.lengths, self.uses = self.lengths[kept], self.uses[kept] // 2
+        self.starts = np.cumsum(self.lengths, dtype=np.int64) - self.lengths
+        words = list(self.index)
+        self.index = Numbered()
+        self.index.update({words[k]: i for i, k in enumerate(kept.tolist())})
 
     def learn(self, words: list[bytes], block: int = 2000) -> None:
         """Ids of words not met before.  Words are encoded in long strings, set apart by a mark that is one token."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [i for i, w in enumerate(texts) if MARK not in w]
-        ids: list[np.ndarray] = [np.empty(0, np.uint32)] * len(words)
+        marked = np.fromiter((MARK.encode() in w for w in words), bool, len(words))
+        plain = np.flatnonzero(~marked)
+        lengths, starts, parts, end = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64), [self.flat], len(self.flat)
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+
+        def take(which, ids: np.ndarray, sizes) -> None:
+            nonlocal end
+            lengths[which], starts[which] = sizes, end + np.cumsum(sizes) - sizes
+            parts.append(ids)
+            end += len(ids)
+
         for at in range(0, len(plain), block):
-            part = plain[at : at + block]
-            got = np.array(self.tokenizer.encode(f" {MARK} ".join([texts[i] for i in part]), add_special_tokens=False).ids, np.uint32)
-            if len(mark) != 1 or len(cuts := np.flatnonzero(got == mark[0])) != len(part) - 1:
+            which = plain[at : at + block]
+            got = np.array(self.tokenizer.encode(f" {MARK} ".join([words[i].decode("utf-8", "replace") for i in which.tolist()]), add_special_tokens=False).ids, np.uint32)
+            if len(mark) != 1 or len(cuts := np.flatnonzero(got == mark[0])) != len(which) - 1:
                 raise ValueError(f"this tokenizer has no single token for {MARK!r}")
-            for i, a, b in zip(part, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(got)]):
-                ids[i] = got[a:b]
-        for i in set(range(len(words))).difference(plain):
-            ids[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, np.uint32)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.flat = np.concatenate([self.flat, *ids])
+            take(which, np.delete(got, cuts), np.diff(cuts, prepend=-1, append=len(got)) - 1)
+        for i in np.flatnonzero(marked).tolist():
+            ids = np.array(self.tokenizer.encode(words[i].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+            take([i], ids, np.array([len(ids)]))
+        self.flat, self.starts, self.lengths = np.concatenate(parts), np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
 
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         if len(self.index) > self.limit:
-            self.clear()
+            self.forget()
         at = [numbers((t or b"").split(), self.index) for t in texts]
         self.learn(self.index.new)
         self.index.new = []
+        uses = np.bincount(np.concatenate([np.empty(0, np.int64), *at]), minlength=len(self.index))
+        uses[: len(self.uses)] += self.uses
+        self.uses = np.minimum(uses, 1 << 30).astype(np.int32)
         tail = np.array([end], np.uint32)
         return [np.concatenate([gather(self.flat, self.starts, self.lengths, a), tail]) for a in at]
 

@@ -47,6 +47,17 @@ def test_packing_of_documents(spark):
     check_packing(docs.collect(), packing.pack(docs, WORDS).collect())
 
 
+def test_words_that_are_dropped_are_encoded_again():
+    """With room for few words, what was met once goes, what is met often stays, and ids are the tokenizer's throughout."""
+    t, words = Tokenizer.from_file(WORDS), packing.WordTokens(WORDS, 40)
+    for k in range(30):
+        texts = [f"the fox {k} number{k * 7} a|b || the", "", None, "日本語 don't the", " ".join(f"w{k}x{i}" for i in range(k))]
+        got = words.encode([None if x is None else x.encode() for x in texts], 2)
+        assert [g.tolist() for g in got] == [[*t.encode(x or "", add_special_tokens=False).ids, 2] for x in texts]
+        assert b"the" in words.index and len(words.index) == len(words.starts) == len(words.uses) <= 40 + 35
+    assert words.encode([], 2) == []
+
+
 def test_packing_of_hard_rows(spark):
     docs = hard(spark)
     check_packing(docs.collect(), packing.pack(docs, WORDS).collect())

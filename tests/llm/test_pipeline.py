@@ -1,7 +1,7 @@
 """The pipeline's stages: each takes effect, and all but the last keep the columns of documents."""
 
 import corpus_pipeline
-from helpers import SF, documents
+from helpers import HARD, SF, documents, empty, hard
 
 from tapeloom.llm import jaccard, langid, pii, toxicity
 
@@ -36,3 +36,20 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).select("doc_id").distinct().count() > 100
+
+
+def test_stages_stand_hard_and_empty_tables(spark, tmp_path):
+    """Null ids and texts, repeated rows, a very long text, further columns of clashing names; and no rows at all."""
+    again = hard(spark, [(None, "a text without an id that is long enough to be read"), (None, None), (1, HARD[0][1])])
+    for name, docs in {"hard": hard(spark).unionByName(again), "empty": empty(spark)}.items():
+        kept = docs
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            stage(spark, kept, SF).write.parquet(f"{tmp_path}/{name}{k}")
+            after = spark.read.parquet(f"{tmp_path}/{name}{k}")
+            assert after.columns == docs.columns and after.count() <= kept.count()
+            kept = after
+        texts = [r.text for r in kept.collect()]
+        assert None not in texts and "" not in texts and len(texts) == len(set(texts))
+        assert name != "empty" or not texts
+        packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()
+        assert sum(p.start == 0 for p in packed) == len(texts)

@@ -2,6 +2,9 @@
 
 Each stage works on all that the one before it kept, and is written as Parquet and read again between them.  All but the
 last return the columns of ``documents``; a replaced text's ``n_chars`` is counted anew.
+
+Edge cases: documents with a null, empty or letterless text go at the language stage; rows without an id stay if their text does; of equal texts one
+stays; further columns are carried through whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations

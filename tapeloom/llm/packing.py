@@ -61,8 +61,8 @@ class WordTokens:
         self.index = Numbered()
         self.index.update({words[k]: i for i, k in enumerate(kept.tolist())})
 
-    def learn(self, words: list[bytes], block: int = 2000) -> None:
-        """Ids of words not met before.  Words are encoded in long strings, set apart by a mark that is one token."""
+    def learn(self, words: list[bytes], block: int = 100) -> None:
+        """Ids of words not met before.  Words are encoded in short runs, set apart by a mark that is one token."""
         marked = np.fromiter((MARK.encode() in w for w in words), bool, len(words))
         plain = np.flatnonzero(~marked)
         lengths, starts, parts, end = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64), [self.flat], len(self.flat)
@@ -76,7 +76,8 @@ class WordTokens:
 
         for at in range(0, len(plain), block):
             which = plain[at : at + block]
-            got = np.array(self.tokenizer.encode(f" {MARK} ".join([words[i].decode("utf-8", "replace") for i in which.tolist()]), add_special_tokens=False).ids, np.uint32)
+            text = f" {MARK} ".join([words[i].decode("utf-8", "replace") for i in which.tolist()])
+            got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)  # without offsets
             if len(mark) != 1 or len(cuts := np.flatnonzero(got == mark[0])) != len(which) - 1:
                 raise ValueError(f"this tokenizer has no single token for {MARK!r}")
             take(which, np.delete(got, cuts), np.diff(cuts, prepend=-1, append=len(got)) - 1)

@@ -338,10 +338,10 @@ def k9_truncate(fx):
 # --- streams, each over all there is and then ended -----------------------------------------------------------------------------
 
 
-def _stream(fx, table: str, files: int = 1) -> DataFrame:
-    """A derived table as a stream of files."""
+def _stream(fx, table: str) -> DataFrame:
+    """A derived table as a stream of files, as many as tasks write."""
     spark, path = session(fx), tables.scratch(fx("supplier").sparkSession, table)
-    fx(table).repartition(files).write.parquet(path)
+    fx(table).write.parquet(path)
     stored = spark.read.parquet(path)
     return spark.readStream.schema(stored.schema).parquet(path)
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .kernels import GROUP_ROWS, apply_kernel, pandas_kernel
+from .ranges import spread
 from .scan import affine_scan, keep_columns
 
 
@@ -50,8 +51,7 @@ class Indicator(ABC):
             raise ValueError(f"{self.name} needs columns {missing}")
 
     def apply(self, bars: DataFrame) -> DataFrame:
-        self.validate_input(bars)
-        return keep_columns(self.calculate(bars.drop(*self.columns)), bars, self.columns)
+        return apply_all(bars, [self])
 
 
 class MA(Indicator):
@@ -250,9 +250,15 @@ for _name, _factory in {
     register_indicator(_name, _factory)
 
 
+def apply_all(bars: DataFrame, indicators: Sequence[Indicator]) -> DataFrame:
+    """The indicators one after the other, on bars dealt to tasks of bounded size once for all of them."""
+    for n, indicator in enumerate(indicators):
+        indicator.validate_input(bars)
+        rows = bars.drop(*indicator.columns)
+        bars = keep_columns(indicator.calculate(rows if n else spread(rows, ["symbol"])), bars, indicator.columns)
+    return bars
+
+
 def apply_batch(bars: DataFrame, names: Sequence[str]) -> DataFrame:
     """All known indicators of the list in one lineage; unknown names are skipped."""
-    for name in names:
-        if is_registered(name):
-            bars = create_indicator(name).apply(bars)
-    return bars
+    return apply_all(bars, [create_indicator(name) for name in names if is_registered(name)])

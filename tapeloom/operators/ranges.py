@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import ceil
 from operator import and_
 
 from pyspark.sql import DataFrame, Window
@@ -11,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Dimension tables up to so many rows are broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Rows that a task gets, about, where keys are dealt to tasks.
+TASK_ROWS = 250_000
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -24,6 +27,15 @@ def matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "in
     return left.join(other, reduce(and_, [F.col(c).eqNullSafe(F.col(f"__on_{c}")) for c in on]), how).drop(*[f"__on_{c}" for c in on])
 
 
+def spread(df: DataFrame, by: Sequence[str], rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` dealt by key to as many tasks as get about ``rows`` rows each, so what a task sorts or aggregates doesn't grow with the table.
+
+    Windows and aggregates by these keys, or by more, need no further shuffle.  Costs one count; tables of at most ``rows`` rows, and streams, stay as they are.
+    """
+    tasks = 1 if df.isStreaming else ceil(df.select(*by).count() / rows)
+    return df if tasks < 2 else df.repartition(max(tasks, df.sparkSession.sparkContext.defaultParallelism), *by)
+
+
 def has_long_key(df: DataFrame, by: Sequence[str], rows: int) -> bool:
     """Whether any key has more than ``rows`` rows: one count by key, combined before its shuffle."""
     return not df.groupBy(*by).agg(F.count("*").alias("__n")).where(F.col("__n") > rows).isEmpty()

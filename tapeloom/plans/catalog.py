@@ -14,6 +14,7 @@ from ..functions import industry, rules
 from ..operators import adjust as adj
 from ..operators import indicators as ind
 from ..operators import joins, macro, resample, statements, summary, valuation
+from ..operators.ranges import spread
 from ..sources import schemas, tables
 from ..streaming import ticks
 from . import incremental, jobs, quality
@@ -261,7 +262,7 @@ def i_ma(fx):
 
 @query("SELECT a.symbol, a.time, round(a.y, 6) AS ema_20, round(b.y, 6) AS ema_50 FROM e20 a JOIN e50 b ON a.symbol = b.symbol AND a.time = b.time", True, _scan_sql("e20", "fx_bars", "close", 2 / 21, None) + ", " + _scan_sql("e50", "fx_bars", "close", 2 / 51, 50))
 def i_ema(fx):
-    out = ind.EMA(50).apply(ind.EMA(20, seed="first").apply(fx("fx_bars")))
+    out = ind.apply_all(fx("fx_bars"), [ind.EMA(20, seed="first"), ind.EMA(50)])
     return rounded(out, "ema_20", "ema_50").select("symbol", "time", "ema_20", "ema_50")
 
 
@@ -357,7 +358,7 @@ _CROSS = """CASE WHEN {v} IS NOT NULL AND l2_name IS NOT NULL AND count({v}) OVE
 @query(f"SELECT symbol, time, l2_name, {_CROSS.format(v='pb')} AS pb_industry_pct FROM (SELECT q.symbol, q.time, m.l2_name, round(q.pb, 1) AS pb FROM fx_ratios q LEFT JOIN fx_members m ON q.symbol = m.ts_code AND m.ts_code % 7 <> 3)")
 def v3_cross_section_pct(fx):
     rows = joins.with_membership(fx("fx_ratios"), fx("fx_members").where("ts_code % 7 <> 3")).withColumn("pb", rnd("pb", 1))
-    out = rows.withColumn("pb_industry_pct", valuation.cross_section_percentile("pb"))
+    out = spread(rows, ["time", "l2_name"]).withColumn("pb_industry_pct", valuation.cross_section_percentile("pb"))
     return rounded(out, "pb_industry_pct").select("symbol", "time", "l2_name", "pb_industry_pct")
 
 

@@ -13,7 +13,7 @@ from ..functions import rules
 from ..functions.industry import with_defaults
 from .joins import asof_join, with_membership
 from .kernels import GROUP_ROWS, apply_kernel, count_below
-from .ranges import small
+from .ranges import small, spread
 
 METRICS = ("pe_ttm", "pb", "ps_ttm")
 
@@ -96,6 +96,7 @@ def industry_valuation(valuation: DataFrame, members: DataFrame, config: DataFra
         kind = F.col(f"{side}_indicator_type")
         df = df.withColumn(f"{side}_indicator_value", rules.pick_indicator(kind, col("pe_ttm"), col("pb"), col("ps_ttm"), col("peg")))
         df = df.withColumn(f"{side}_indicator_pct_1250d", rules.pick_percentile(kind, *[col(f"{m}_pct_{window}d") for m in ("pe_ttm", "pb", "ps_ttm")]))
+    df = spread(df, ["time", "l2_name"])
     for side in ("core", "ref"):
         df = df.withColumn(f"{side}_indicator_industry_pct", cross_section_percentile(f"{side}_indicator_value", ("time", "l2_name"), min_group))
     df = df.withColumn("exemption_reason", rules.exemption_reason(F.col("l3_name"), F.col("core_indicator_value"))).withColumn("is_exempted", F.col("exemption_reason").isNotNull())

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import period_end
 from .adjust import require_adjusted
+from .ranges import spread
 
 #: Rule of each column: first, last, max, min, sum.
 RULES = {"open": "first", "high": "max", "low": "min", "close": "last", "volume": "sum", "amount": "sum", "adj_factor": "last"}
@@ -40,7 +41,7 @@ def resample_multi(bars: DataFrame, freqs: Sequence[str], rules: Mapping[str, st
     if check_adjusted:
         require_adjusted(bars)
     ends = F.explode(F.array(*[F.struct(F.lit(f).alias("freq"), period_end(F.col("time"), f).alias("end")) for f in freqs]))
-    rows = bars.select("symbol", "time", *chosen, ends.alias("__p"))
+    rows = spread(bars, ["symbol"]).select("symbol", "time", *chosen, ends.alias("__p"))
     out = rows.groupBy("symbol", F.col("__p.freq").alias("freq"), F.col("__p.end").alias("__end")).agg(*[rule_of(c, r) for c, r in chosen.items()])
     if "open" in chosen:
         out = out.where(F.col("open").isNotNull())
@@ -55,7 +56,7 @@ def bucket(unit: str, time: str = "time") -> Column:
 def rollup_bars(bars: DataFrame, unit: str) -> DataFrame:
     """Weekly or monthly bars stamped at the bucket's start, prices times last over first factor of the bucket."""
     ratio = F.max_by("adj_factor", "time") / F.min_by("adj_factor", "time")
-    return bars.groupBy("symbol", bucket(unit).alias("time")).agg(
+    return spread(bars, ["symbol"]).groupBy("symbol", bucket(unit).alias("time")).agg(
         (F.min_by("open", "time") * ratio).alias("open"),
         (F.max("high") * ratio).alias("high"),
         (F.min("low") * ratio).alias("low"),
@@ -66,11 +67,11 @@ def rollup_bars(bars: DataFrame, unit: str) -> DataFrame:
 
 
 def rollup_ratios(ratios: DataFrame, unit: str, averages: Sequence[str], lasts: Sequence[str]) -> DataFrame:
-    return ratios.groupBy("symbol", bucket(unit).alias("time")).agg(*[F.avg(c).alias(f"avg_{c}") for c in averages], *[F.max_by(c, "time").alias(c) for c in lasts])
+    return spread(ratios, ["symbol"]).groupBy("symbol", bucket(unit).alias("time")).agg(*[F.avg(c).alias(f"avg_{c}") for c in averages], *[F.max_by(c, "time").alias(c) for c in lasts])
 
 
 def rollup_factor(factors: DataFrame, unit: str) -> DataFrame:
-    return factors.groupBy("symbol", bucket(unit).alias("time")).agg(F.max_by("adj_factor", "time").alias("adj_factor"))
+    return spread(factors, ["symbol"]).groupBy("symbol", bucket(unit).alias("time")).agg(F.max_by("adj_factor", "time").alias("adj_factor"))
 
 
 def whole_buckets(df: DataFrame, unit: str, start=None, end=None, time: str = "time") -> DataFrame:

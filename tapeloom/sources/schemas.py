@@ -135,7 +135,7 @@ def flatten_nested(df: DataFrame, column: str, fields: Sequence[str] = ("open",
     """``{symbol: {field: {epoch ms: value}}}`` in JSON text to one row a symbol and time, times in the market's zone."""
     nested = df.select(F.explode(F.from_json(column, "map<string,map<string,map<string,double>>>")).alias("symbol", "m"))
     cells = nested.select("symbol", F.explode("m").alias("field", "v")).select("symbol", "field", F.explode("v").alias("key", "value"))
-    wide = cells.groupBy("symbol", "key").pivot("field", list(fields)).agg(F.first("value", ignorenulls=True))
+    wide = cells.groupBy("symbol", "key").agg(*[F.first(F.when(F.col("field") == f, F.col("value")), ignorenulls=True).alias(f) for f in fields])
     return wide.select("symbol", F.from_utc_timestamp(F.timestamp_millis(F.col("key").try_cast("long")), zone).alias("time"), *fields)
 
 

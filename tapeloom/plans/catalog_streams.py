@@ -34,16 +34,14 @@ def arrivals(fx) -> DataFrame:
 
 
 def recorded(fx) -> tuple[SparkSession, str]:
-    """The tape of four files: two are there when the stream runs first, two when it goes on from its checkpoint."""
+    """The tape of four arrivals, each landed by all tasks and read as one batch by a stream that goes on from its checkpoint."""
     spark = session(fx)
     landing, root, checkpoint = (tables.scratch(spark, name) for name in ("landing", "tape", "state"))
     came = arrivals(fx)
     schema = came.drop("f").schema
-    for files in ((0, 1), (2, 3)):
-        for f in files:
-            came.where(F.col("f") == f).drop("f").coalesce(1).write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(landing)
-        tape.run_tape(stream, root, checkpoint).awaitTermination()
+    for f in range(4):
+        came.where(F.col("f") == f).drop("f").write.mode("append").parquet(landing)
+        tape.run_tape(spark.readStream.schema(schema).parquet(landing), root, checkpoint).awaitTermination()
     return spark, root
 
 
@@ -111,7 +109,7 @@ def x4_factor_batches(fx):
         return before.withColumn("runs", F.col("runs") + 1).drop("part")
 
     for k, batch in enumerate((first, moved, nothing)):
-        batch.coalesce(1).write.mode("append").parquet(landing)
+        batch.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(batch.schema).parquet(landing)
         ticks.recompute_on_factor_change(stream, path, checkpoint, job).awaitTermination()
     out = tables.read(spark, path)

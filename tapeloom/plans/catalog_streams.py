@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -180,10 +181,11 @@ def _landed(fx) -> tuple[SparkSession, str]:
     line = F.to_json(F.struct(F.col("symbol").cast("string").alias("ts_code"), stamp.alias("trade_date"), F.col("close").cast("string").alias("close")))
     cut = F.concat(F.lit('{"ts_code":"'), F.col("symbol").cast("string"), F.lit('","trade_date":"'), F.date_format("time", "yyyyMMdd"))
     lines = b.select("symbol", F.when(F.col("k") % 11 == 0, cut).otherwise(line).alias("value"), (F.dayofmonth("time") == 7).alias("twice"))
-    lines = lines.unionByName(lines.where("twice"))
+    lines = lines.unionByName(lines.where("twice")).persist(StorageLevel.DISK_ONLY)  # for both runs
     for odd in (0, 1):
         lines.where(F.col("symbol") % 2 == odd).select("value").repartition(2).write.mode("append").text(folder)
         landing.land_new(spark, folder, "daily", target)
+    lines.unpersist()
     return spark, target
 
 

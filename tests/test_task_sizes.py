@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tapeloom.operators import ranges
 from tapeloom.operators.scan import affine_scan
 from tapeloom.plans import catalog, catalog_jobs
-from tapeloom.sources import schemas, tables
+from tapeloom.sources import landing, schemas, tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -52,3 +52,18 @@ def test_carries_are_folded_once_over(spark):
     assert "aggregate(" not in cut._jdf.queryExecution().optimizedPlan().toString()
     both = cut.select("symbol", "time", "y").join(affine_scan(rows, "x", 0.1, "z").select("symbol", "time", "z"), ["symbol", "time"])
     assert both.count() == 40_000 and both.where("abs(y - z) > 1e-9 OR y IS NULL").count() == 0
+
+
+def test_a_batch_is_read_once(spark, tmp_path, monkeypatch):
+    folder, target, upsert = tmp_path / "in", f"{tmp_path}/daily", landing.write_upsert
+    folder.mkdir()
+    (folder / "a.json").write_text('{"ts_code": "1", "trade_date": "20240102", "close": "2.5"}\n{"ts_code": "1", "trade_date": "never"}\n')
+
+    def gone(*args):
+        (folder / "a.json").unlink()
+        upsert(*args)
+
+    monkeypatch.setattr(landing, "write_upsert", gone)
+    assert landing.land_new(spark, str(folder), "daily", target) == 1
+    assert [(r.n_records, r.n_rows, r.n_rejects) for r in landing.runs(spark, target).collect()] == [(2, 1, 1)]
+    assert [r.close for r in tables.read(spark, target).collect()] == [2.5]

@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import log
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from .kernels import importable
 from .ranges import cut, matched
 
 #: Weight of a block too far back to change a double.
@@ -76,13 +80,21 @@ def affine_scan(df: DataFrame, value: str, alpha: float, out: str, key: str = "s
 
 
 def _carries(scanned: DataFrame, key: str, out: str, d: float) -> DataFrame:
-    """(key, __range, __in): y at the end of the range before, null where the recurrence hasn't begun.  A key's ranges, one row each, are folded in order."""
+    """(key, __range, __in): y at the end of the range before, null where the recurrence hasn't begun.  A key's ranges, one row each, are folded in order, once over."""
     ends = scanned.groupBy(key, "__range").agg(F.count("__a").alias("n"), F.max_by(out, F.when(F.col("__a").isNotNull(), F.col("__k"))).alias("y"))
-    listed = ends.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("__range").alias("r"), "n", "y"))).alias("ends"))
-    nothing = F.struct(F.lit(None).cast("double").alias("y"), F.array().cast("array<struct<r:bigint,y:double>>").alias("got"))
-    end = lambda s, e: F.when(e["n"] == 0, s["y"]).otherwise(e["y"] + F.coalesce(s["y"], F.lit(0.0)) * F.pow(F.lit(d), e["n"].cast("double")))
-    folded = F.aggregate("ends", nothing, lambda s, e: F.struct(end(s, e).alias("y"), F.concat(s["got"], F.array(F.struct(e["r"].alias("r"), s["y"].alias("y")))).alias("got")), lambda s: s["got"])
-    return listed.select(key, F.explode(folded).alias("g")).select(key, F.col("g.r").alias("__range"), F.col("g.y").alias("__in"))
+    importable(scanned.sparkSession)
+    kind = ends.schema[key].dataType
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.take(pc.sort_indices(table, sort_keys=[("__range", "ascending")]))
+        got, y = [], None
+        for n, own in zip(table.column("n").to_pylist(), table.column("y").to_pylist()):
+            got.append(y)
+            if n:
+                y = own + (y or 0.0) * d**n
+        return pa.table({key: table.column(key), "__range": table.column("__range"), "__in": pa.array(got, pa.float64())})
+
+    return ends.groupBy(key).applyInArrow(fold, StructType([StructField(key, kind), StructField("__range", LongType()), StructField("__in", DoubleType())]))
 
 
 def keep_columns(df: DataFrame, like: DataFrame, extra: Sequence[str]) -> DataFrame:

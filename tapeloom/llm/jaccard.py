@@ -13,7 +13,7 @@
    joined to components.  What a list then still holds of different components is compared pair by pair, so no link between
    components is missed, and a group of g near copies costs about g comparisons a list instead of g*g/2.  A list of a frequent
    shingle is dealt to several tasks; its earliest set is the earliest of theirs.
-   Before texts are sent for it, a pair's sketches (how many of a set's shingles lie in each of RANGES ranges of hashes) are held together:
+   Before texts are sent for it, a pair's sketches (how many of a set's shingles lie in each of RANGES ranges of hashes, or more for large sets) are held together:
    the sum of the smaller counts is at least the overlap, and where even that would be too little the pair is done.
 4. Components follow from the verified links of both rounds.  The links returned are those that were needed: a subset that connects
    each component, not every pair in it.
@@ -41,8 +41,8 @@ from .graph import components
 
 SETS = "doc_id long, n long, set_id long, check long, sketch binary, shingle long, held long"
 POSTINGS = "list long, set_id long, at long, key long"
-#: Ranges of hashes whose shingles a sketch counts.
-RANGES = 256
+#: Ranges of hashes whose shingles a sketch counts; larger sets have as many more, powers of two, as leave DENSE shingles a range at most.
+RANGES, DENSE = 256, 4
 
 
 @dataclass(frozen=True)
@@ -117,10 +117,25 @@ def fingerprint(s: np.ndarray) -> tuple[int, int]:
     return xxhash.xxh3_64_intdigest(raw), xxhash.xxh64_intdigest(raw)
 
 
-def sketched(sets: Sets) -> np.ndarray:
+def sketched(sets: Sets) -> list[bytes]:
     """Of each set, its shingles by range; 255 stands for that many or more."""
     where = np.repeat(np.arange(len(sets)), sets.sizes) * RANGES + (sets.flat >> np.uint64(56)).astype(np.int64)
-    return np.minimum(np.bincount(where, minlength=len(sets) * RANGES), 255).astype(np.uint8).reshape(len(sets), RANGES)
+    counts = np.bincount(where, minlength=len(sets) * RANGES).reshape(len(sets), RANGES)
+    out = [r.tobytes() for r in np.minimum(counts, 255).astype(np.uint8)]
+    for i in np.flatnonzero(sets.sizes > DENSE * RANGES).tolist():
+        bits = (-(-int(sets.sizes[i]) // DENSE) - 1).bit_length()
+        counts = np.bincount((sets[i] >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+        out[i] = np.minimum(counts, 255).astype(np.uint8).tobytes()
+    return out
+
+
+def most_common(x: bytes, y: bytes) -> int:
+    """The most shingles that sets of these sketches can share; of the finer one, neighbouring ranges are taken together."""
+    a, b = (np.frombuffer(v, np.uint8) for v in (x, y))
+    if (a == 255).any() or (b == 255).any():
+        return 1 << 40
+    n = min(len(a), len(b))
+    return int(np.minimum(a.reshape(n, -1).sum(1, dtype=np.int64), b.reshape(n, -1).sum(1, dtype=np.int64)).sum())
 
 
 def possible_batches(batches: Iterator[pa.RecordBatch], threshold: int) -> Iterator[pa.RecordBatch]:
@@ -128,11 +143,9 @@ def possible_batches(batches: Iterator[pa.RecordBatch], threshold: int) -> Itera
     for batch in batches:
         column = {c: batch.column(batch.schema.get_field_index(c)) for c in ("n_a", "n_b", "sketch_a", "sketch_b")}
         both = column["n_a"].to_numpy() + column["n_b"].to_numpy()
-        x, y = (np.frombuffer(b"".join(column[c].to_pylist()), np.uint8).reshape(-1, RANGES) for c in ("sketch_a", "sketch_b"))
-        least = np.minimum(x, y)
-        most = least.sum(1, dtype=np.int64)
-        keep = (least == 255).any(1) | (100 * most >= threshold * (both - most))
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+        x, y = (column[c].to_pylist() for c in ("sketch_a", "sketch_b"))
+        most = np.fromiter(map(most_common, x, y), np.int64, len(x))
+        yield batch.select(["a", "b"]).filter(pa.array(100 * most >= threshold * (both - most)))
 
 
 def signed(values) -> pa.Array:
@@ -160,7 +173,7 @@ def set_batches(batches: Iterator[pa.RecordBatch], words: int, local_count: int,
                 seen.add(x)
                 held.append(sets[i])
         none = pa.nulls(len(sets), pa.int64())
-        sketches = pa.array([r.tobytes() for r in sketched(sets)], pa.binary())
+        sketches = pa.array(sketched(sets), pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets.sizes), signed([x for x, _ in marks]), signed([y for _, y in marks]), sketches, none, none], names=names)
         if sum(map(len, held)) > flush:
             yield counted()
@@ -375,7 +388,11 @@ def keep_first(docs: DataFrame, settings: Settings = Settings(), id_col: str = "
     key = next(f"key{k}" for k in range(len(docs.columns) + 1) if f"key{k}" not in docs.columns)
     named = docs.withColumn(key, F.coalesce(F.col(id_col).cast("long"), F.lit(1 << 62) + F.pmod(F.xxhash64(text_col), F.lit(1 << 61))))
     members, _ = join(named, settings, key, text_col)
-    first = written(members.where("doc_id = component_id").groupBy(F.col("doc_id").alias(key)).count(), "firsts")
-    single = named.join(first.where("count = 1").select(key), key, "left_semi")
-    several = named.join(first.where("count > 1").select(key), key, "left_semi").dropDuplicates([key, text_col])
+    # of each id, how many of its rows are first; texts stay where they are, unless too many ids are left out to be told to every task
+    firsts = members.groupBy(F.col("doc_id").alias(key)).agg(F.count(F.when(F.col("doc_id") == F.col("component_id"), 1)).alias("count"))
+    others = written(firsts.where("count <> 1"), "others")
+    small = others.count() <= settings.broadcast_ids
+    out, more = ((F.broadcast(x) if small else x) for x in (others.select(key), others.where("count > 1").select(key)))
+    single = named.join(out, key, "left_anti")
+    several = named.join(more, key, "left_semi").dropDuplicates([key, text_col])
     return single.unionByName(several).select(*docs.columns)

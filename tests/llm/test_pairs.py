@@ -100,6 +100,37 @@ def test_keep_first(spark):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 6, 7, 8] and kept.where("doc_id is null").first().text == "a text without an id"
 
 
+def test_keep_first_moves_no_text(spark, capsys):
+    """Texts aren't shuffled for the rows that stay, whatever Spark itself would broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = jaccard.keep_first(spark.createDataFrame(near_copies(), "doc_id long, text string"))
+        kept.explain()
+        single = capsys.readouterr().out.split("SortAggregate")[0].split("HashAggregate")[0]
+        want = set(brute(near_copies())[2].values())
+        assert "BroadcastHashJoin" in single and "Exchange hashpartitioning(key" not in single
+        assert {r.doc_id for r in kept.collect()} == want
+        wide = jaccard.keep_first(spark.createDataFrame(near_copies(), "doc_id long, text string"), jaccard.Settings(broadcast_ids=0))
+        assert {r.doc_id for r in wide.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_sketches_tell_long_texts_apart():
+    """Sets of thousands of shingles that share few are ruled out by their sketches; those at the threshold are not, whatever their sizes."""
+    rng = np.random.default_rng(3)
+    for n in (300, 3000, 20_000):
+        a, b = (np.sort(rng.integers(0, 1 << 63, n, np.uint64) * 2) for _ in range(2))
+        c = np.sort(np.concatenate([a[: n * 9 // 10], b[: n // 20]]))
+        for other, ok in ((b, False), (c, True), (a[: n * 3 // 4], True), (a, True)):
+            sets = jaccard.Sets.__new__(jaccard.Sets)
+            sets.flat, sets.sizes = np.concatenate([a, other]), np.array([len(a), len(other)])
+            sets.ends = np.cumsum(sets.sizes)
+            x, y = jaccard.sketched(sets)
+            most = jaccard.most_common(x, y)
+            assert most >= len(np.intersect1d(a, other)) and (100 * most >= 75 * (len(a) + len(other) - most)) == ok, (n, ok)
+
+
 def test_texts_that_share_an_id_are_compared_rightly(spark):
     a, b = " ".join(f"a{k}" for k in range(40)), " ".join(f"b{k}" for k in range(40))
     docs = spark.createDataFrame([(1, a), (1, b), (2, a + " more"), (3, b + " more")], "doc_id long, text string")

@@ -15,7 +15,9 @@ than the id and the text are neither read nor returned.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,6 +35,33 @@ GROUP_TOKENS, GROUP_DOCS = 1 << 20, 4096
 #: Sets words apart when many are encoded at once; words that hold it are encoded alone.
 MARK = "|"
 _TOKENIZERS: dict[str, tuple] = {}
+#: A word of Latin letters, with ASCII marks at its end or none: it is encoded as its letters in lower case, then its marks, by tokenizers that normalise and split as
+#: NORMALIZERS and SPLIT say.  These letters are composed already, and none of the marks joins them or is part of a special token (MARK isn't among them).
+LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{}~]*)")
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def folded(text: bytes) -> bytes:
+    """``text`` with A-Z in lower case, which such a tokenizer does anyway, after NFC; so not where a combining mark (U+0300 to U+036F) might join a letter of one
+    case only, or MARK be part of a special token."""
+    return text if MARK.encode() in text or b"\xcc" in text or b"\xcd" in text else text.lower()
+
+
+def letters_only(tokenizer):
+    """A tokenizer of lower-case letters between white space, with the same ids but without normalising and splitting by patterns; None if ``tokenizer`` isn't of the kind that LETTERS is for."""
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    spec = json.loads(tokenizer.to_str())
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if steps != NORMALIZERS or [x["type"] for x in splits] != ["Split", "ByteLevel"] or splits[0]["pattern"] != {"Regex": SPLIT} or splits[1]["use_regex"] or splits[1]["add_prefix_space"]:
+        return None
+    if spec["post_processor"] or any(MARK not in x["content"] for x in spec["added_tokens"]):
+        return None
+    plain = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "added_tokens": []}))
+    plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+    return plain
 
 
 class WordTokens:
@@ -47,6 +76,7 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.letters = letters_only(self.tokenizer)
         self.index = Numbered()
         self.flat, self.starts, self.lengths, self.uses = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int32), np.empty(0, np.int32)
 
@@ -61,12 +91,12 @@ class WordTokens:
         self.index = Numbered()
         self.index.update({words[k]: i for i, k in enumerate(kept.tolist())})
 
-    def learn(self, words: list[bytes], block: int = 100) -> None:
-        """Ids of words not met before.  Words are encoded in short runs, set apart by a mark that is one token."""
-        marked = np.fromiter((MARK.encode() in w for w in words), bool, len(words))
+    def encoded(self, tokenizer, words: list[str], block: int = 100) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, and where each word's start, and how many they are).  Words are encoded in short runs, set apart by a mark that is one token."""
+        lengths, starts, parts, end = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64), [np.empty(0, np.uint32)], 0
+        marked = np.fromiter((MARK in w for w in words), bool, len(words))
         plain = np.flatnonzero(~marked)
-        lengths, starts, parts, end = np.zeros(len(words), np.int32), np.zeros(len(words), np.int64), [self.flat], len(self.flat)
-        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        mark = tokenizer.encode(MARK, add_special_tokens=False).ids
 
         def take(which, ids: np.ndarray, sizes) -> None:
             nonlocal end
@@ -76,20 +106,46 @@ class WordTokens:
 
         for at in range(0, len(plain), block):
             which = plain[at : at + block]
-            text = f" {MARK} ".join([words[i].decode("utf-8", "replace") for i in which.tolist()])
-            got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)  # without offsets
+            text = f" {MARK} ".join([words[i] for i in which.tolist()])
+            got = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)  # without offsets
             if len(mark) != 1 or len(cuts := np.flatnonzero(got == mark[0])) != len(which) - 1:
                 raise ValueError(f"this tokenizer has no single token for {MARK!r}")
-            take(which, np.delete(got, cuts), np.diff(cuts, prepend=-1, append=len(got)) - 1)
+            take(which, got[got != mark[0]], np.diff(cuts, prepend=-1, append=len(got)) - 1)
         for i in np.flatnonzero(marked).tolist():
-            ids = np.array(self.tokenizer.encode(words[i].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(tokenizer.encode(words[i], add_special_tokens=False).ids, np.uint32)
             take([i], ids, np.array([len(ids)]))
-        self.flat, self.starts, self.lengths = np.concatenate(parts), np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        return np.concatenate(parts), starts, lengths
+
+    def learn(self, words: list[bytes]) -> None:
+        """Ids of words not met before; letters that are known, or are in several of these words, aren't encoded again."""
+        match, known, n = LETTERS.fullmatch if self.letters else lambda text: None, self.index.get, len(self.starts)
+        letters, others = Numbered(), Numbered()
+        # a word is two runs of ids: from 0 those of known words, then those of letters; from -1 downwards those of others
+        runs, nothing = [], ~others[""]
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if found := match(text):
+                stem = found[1].lower()
+                k = known(stem.encode(), n)
+                runs += k if k < n else n + letters[stem], ~others[found[2]]
+            else:
+                runs += ~others[text], nothing
+        flat, starts, lengths = self.flat, self.starts, self.lengths
+        for tokenizer, new in (self.letters, letters), (self.tokenizer, others):
+            if new:
+                ids, at, sizes = self.encoded(tokenizer, list(new))
+                flat, starts, lengths = np.concatenate([flat, ids]), np.concatenate([starts, at + len(flat)]), np.concatenate([lengths, sizes])
+        runs = np.array(runs, np.int64)
+        runs = np.where(runs < 0, n + len(letters) + ~runs, runs)
+        ids, sizes = gather(flat, starts, lengths, runs), lengths[runs].reshape(-1, 2).sum(1, dtype=np.int32)
+        at = len(self.flat) + np.cumsum(sizes, dtype=np.int64) - sizes
+        self.flat, self.starts, self.lengths = np.concatenate([self.flat, ids]), np.concatenate([self.starts, at]), np.concatenate([self.lengths, sizes])
 
     def encode(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         if len(self.index) > self.limit:
             self.forget()
-        at = [numbers((t or b"").split(), self.index) for t in texts]
+        fold = folded if self.letters else bytes
+        at = [numbers(fold(t or b"").split(), self.index) for t in texts]
         self.learn(self.index.new)
         self.index.new = []
         uses = np.bincount(np.concatenate([np.empty(0, np.int64), *at]), minlength=len(self.index))

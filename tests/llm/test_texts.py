@@ -58,6 +58,20 @@ def test_words_that_are_dropped_are_encoded_again():
     assert words.encode([], 2) == []
 
 
+def test_words_split_into_letters_and_marks_keep_their_ids(monkeypatch):
+    """Case, marks at the end, composed and combining letters and special tokens come out as the tokenizer has them; letters met before aren't encoded again."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, tokens = Tokenizer.from_file(path), packing.WordTokens(path)
+    words = "Word word, WORD!? word's WORD'S it'll' Été été. ÉTÉ%%% e\u0301te\u0301 J\u030c j\u030c, K\u030c \u212aelvin Stra\u1e9ee STRASSE a\u0338= =\u0338 x|y <|endoftext|> <|ENDOFTEXT|> 12ab, ab12. --ab ªb ΣΑΣ. a\u00a0b, \x1c".split(" ")
+    for texts in ([" ".join(words)], words, [w * 3 for w in words], [w.swapcase() for w in words]):
+        got = tokens.encode([t.encode() for t in texts], 2)
+        assert [g.tolist() for g in got] == [[k for w in t.encode().split() for k in whole.encode(w.decode(), add_special_tokens=False).ids] + [2] for t in texts]
+    sent, encoded = [], tokens.encoded
+    monkeypatch.setattr(tokens, "encoded", lambda tokenizer, words: sent.extend(words) or encoded(tokenizer, words))
+    tokens.encode([b"word... WORD??! Word;"], 2)
+    assert sorted(sent) == ["", "...", ";", "??!"]
+
+
 def test_packing_of_hard_rows(spark):
     docs = hard(spark)
     check_packing(docs.collect(), packing.pack(docs, WORDS).collect())

@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Text that one slice of an Arrow batch holds at most (a longer single text makes a slice of its own).
 SLICE_BYTES = 2 << 20
+#: Spark's bound of an Arrow batch, and what an executor with little memory beside its heap stands (a longer row makes a batch of its own).
+BATCH_BOUND, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 
 
 def importable(spark: SparkSession) -> None:
@@ -37,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let Spark send texts to Python workers by BATCH_BYTES, unless the session has a bound of its own.
+
+    By default a batch is a whole file split; while it is written it lies outside the executor's heap more than once, and in the worker too.
+    """
+    if spark.conf.get(BATCH_BOUND, None) is None:
+        spark.conf.set(BATCH_BOUND, BATCH_BYTES)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir; where that is unset a temporary one, in local mode only (tests)."""
     sc = spark.sparkContext

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, give_back, hold, mix, numbers, slices, training_sample
+from .common import Numbered, give_back, hold, mix, numbers, slices, small_batches, training_sample
 
 SCHEMA = "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean"
 UNKNOWN = "und"
@@ -255,5 +255,6 @@ def keep_batches(batches: Iterator[pa.RecordBatch], model: Model, text_col: str)
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows, in all their columns, that aren't rejected."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(lambda b: keep_batches(b, shared.value, text_col), docs.schema)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, gather, hold, numbers, slices
+from .common import Numbered, gather, give_back, hold, numbers, slices, small_batches
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long"
 #: Tokens and documents after which a group is packed.
@@ -71,7 +71,7 @@ class WordTokens:
     those met again are kept, the half of ``limit`` met most often at most, so words that occur once don't fill the memory.
     """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -243,6 +243,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int, en
     hold("packing", _TOKENIZERS.clear)
     if path not in _TOKENIZERS:
         _TOKENIZERS[path] = WordTokens(path)
+        give_back()
     tokens, packer = _TOKENIZERS[path], Packer(capacity, linear, quadratic)
     for batch, texts in slices(batches):
         rows: list[tuple] = []
@@ -254,6 +255,7 @@ def pack_batches(batches: Iterator[pa.RecordBatch], path: str, capacity: int, en
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: int = 2, linear: float = 1.0, quadratic: float = 1 / 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of SCHEMA, one per piece.  ``linear`` and ``quadratic`` weigh the cost estimate; ``end_id`` closes each document."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(lambda batches: pack_batches(batches, tokenizer_path, capacity, end_id, linear, quadratic), SCHEMA)
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Numbered, give_back, hold, numbers, slices, training_sample
+from .common import Numbered, give_back, hold, numbers, slices, small_batches, training_sample
 
 SCHEMA = "doc_id long, score double, language_guess string"
 MARKS = (string.punctuation + string.whitespace).encode()
@@ -307,5 +307,6 @@ def keep_batches(batches: Iterator[pa.RecordBatch], model: Model, text_col: str,
 
 def keep_clean(docs: DataFrame, model: Model, limit: float = 0.5, text_col: str = "text") -> DataFrame:
     """The rows, in all their columns, that score below ``limit``."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return docs.mapInArrow(lambda b: keep_batches(b, shared.value, text_col, limit), docs.schema)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import SF, documents, empty, hard
 from pyspark.sql import functions as F
@@ -233,6 +234,54 @@ def test_both_ways_give_the_same_rows(spark):
     assert {r.n_known for r in bloomlm.score(docs, F.lit(False), ROUTED).collect()} == {0}
 
 
+def test_a_block_probes_its_filter_once_however_many_chunks_ask(spark, tmp_path):
+    class Probes:
+        """Four probes; writes down each time that a filter is about to be probed."""
+
+        def __init__(self, log):
+            self.log = log
+
+        def __index__(self):
+            with open(self.log, "a") as f:
+                f.write("x")
+            return 4
+
+    docs = documents(spark).limit(200).cache()
+    rows, looked = [], []
+    for k, size in enumerate((1 << 30, 10_000)):
+        log = str(tmp_path / f"log{k}")
+        s = bloomlm.Settings(broadcast_bytes=0, chunk_bytes=size, probes=Probes(log))
+        rows.append(sorted(map(tuple, bloomlm.score(docs, F.col("doc_id") % 3 != 0, s).collect())))
+        looked.append(len(open(log).read()))
+    assert len(rows[0]) == 200 and rows[0] == rows[1]
+    assert 0 < looked[0] == looked[1]
+
+
+@pytest.mark.parametrize("part_bytes", [1000, 2])
+def test_parts_of_blocks_change_nothing(spark, part_bytes):
+    docs = documents(spark).limit(80)
+    one, many = (sorted(map(tuple, bloomlm.score(docs, F.col("doc_id") % 3 != 0, s).collect())) for s in (ROUTED, bloomlm.Settings(broadcast_bytes=0, part_bytes=part_bytes, chunk_bytes=100_000)))
+    assert len(one) == 80 and one == many
+
+
+@pytest.mark.parametrize("part_bits", [10, 16, 18])
+def test_packed_hashes_come_back(part_bits):
+    h = np.unique(np.random.default_rng(4).integers(0, 2**64, 30_000, dtype=np.uint64, endpoint=False))
+    low, spread = (x.to_pylist() for x in bloomlm.packed(h, part_bits))
+    at = bloomlm.cuts(h, part_bits)
+    for part in range(0, 1 << part_bits, 37):
+        assert (bloomlm.unpacked([low[part]] * 2, [spread[part]] * 2, part, part_bits) == np.tile(h[at[part] : at[part + 1]], 2)).all()
+
+
+def test_a_chunk_of_many_texts_is_asked_for_whole():
+    """Collapsed as often as it likes, over several batches."""
+    texts = pa.RecordBatch.from_arrays([pa.array([f"a b{i % 7} c{i % 3} a b{i % 5}" for i in range(300)]), pa.array([i % 4 > 0 for i in range(300)]), pa.array([0] * 120 + [1] * 180)], names=["text", "trained", "chunk"])
+    got = [[b.to_pylist() for b in bloomlm.ask_batches(iter([texts.slice(k, 50) for k in range(0, 300, 50)]), 4, 1, flush)] for flush in (10, 10**6)]
+    assert got[0] == got[1] and [[r["chunk"] for r in b] for b in got[0]] == [[0] * 32, [1] * 32]
+    counts = [sum(np.frombuffer(r[c], np.uint32).sum() for r in got[0][0]) for c in ("word_counts", "pair_counts")]
+    assert counts == [90 * 7, 90 * 6]
+
+
 def test_filter_gives_levels_back():
     rng = np.random.default_rng(1)
     h = np.unique(rng.integers(0, 2**63, 20_000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
